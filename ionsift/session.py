@@ -1,11 +1,11 @@
-"""Session settings for local runs, and the shared checkpoint folder."""
+"""Session settings for local runs, and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -24,15 +24,24 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
     return spark
 
 
-def checkpoint_ready(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable: the cluster's folder, or a new one in local mode only."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; a new one in local mode only."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ionsift-", dir=os.environ.get("TMPDIR")))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ionsift-"))
+    return sc.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared folder and go on from there.
+
+    Used where several later steps read the same table: it is computed once, plans stay short,
+    and a lost executor costs no more than a re-read. Parquet keeps column pruning.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
