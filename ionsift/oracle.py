@@ -16,7 +16,7 @@ POSITIVE = "('Positive', 'Pos', 'Esi+')"
 
 def even(x: str, digits: int) -> str:
     """Half-even rounding of the decimal value as printed."""
-    return f"CAST(round_even(CAST({x} AS DECIMAL(38,16)), {digits}) AS DOUBLE)"
+    return f"CAST(round_even(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def near(x: str) -> str:
