@@ -11,7 +11,7 @@ from ionsift.operators.ranges import MASS_CELL, Match, matching_pairs, window_hi
 from ionsift.operators.skew import balanced_join, heavy_keys, join_on, with_dataset, with_group
 from ionsift.operators.wide import columns_like
 from ionsift.params import DATASET, FEATURE, POSITIVE_MODES, Params
-from ionsift.session import settle
+from ionsift.session import settle_and_watch
 
 
 def mode_pairs(features: DataFrame) -> DataFrame:
@@ -96,37 +96,34 @@ def unique_mode_flags(features: DataFrame, params: Params = Params()) -> DataFra
     """
     match = _match(params)
     scale = _scale(match)
-    sides = _side(features, "Positive").unionByName(_side(features, "Negative"))
-    places = settle(
-        sides.select(polarity(F.col("IonMode")).alias("own"), *SAME, "Mass", "RetentionTime").distinct()
-    )
-    by = SAME + ["side"]
-    asked = with_bounds(places, above=match.partners_above("Mass"), below=match.partners_below("Mass"))
     positive = F.col("own") == "Positive"
+    keyed = features.withColumn("own", polarity(F.col("IonMode")))
+    place = [*SAME, "Mass", "RetentionTime", "own"]
+    places, seen = settle_and_watch(
+        keyed.where(F.col("own").isNotNull()).groupBy(*place).agg(F.count(F.lit(1)).alias("n")), copies=F.max("n")
+    )
+    known = places.dropna(subset=["Compound", "Mass", "RetentionTime"])
+    asked = with_bounds(known, above=match.partners_above("Mass"), below=match.partners_below("Mass"))
     windows = asked.select(
-        "*",
+        *SAME,
+        "Mass",
+        "RetentionTime",
+        "own",
         F.when(positive, F.lit("Negative")).otherwise("Positive").alias("side"),
         F.when(positive, F.col("above_low")).otherwise(F.col("below_low")).alias("low"),
         F.when(positive, F.col("above_high")).otherwise(F.col("below_high")).alias("high"),
-        F.col("RetentionTime").alias("rt"),
     ).withColumns({"axis_low": scale("low"), "axis_high": scale("high")})
-    targets = places.select(
-        *SAME, F.col("own").alias("side"), F.col("Mass").alias("mass"), F.col("RetentionTime").alias("rt"),
-        scale("Mass").alias("axis"),
+    targets = known.select(
+        *SAME, F.col("own").alias("side"), F.col("Mass").alias("mass"), "RetentionTime", scale("Mass").alias("axis")
     )
-    identity = ["own", *SAME, "Mass", "RetentionTime"]
-    hits = window_hits(windows, targets, by, params.cross_rt, identity, rows_per_task=params.rows_per_task)
-    keyed = features.withColumn("own", polarity(F.col("IonMode")))
-    return _mark(keyed, hits, identity, params).drop("own")
-
-
-def _mark(keyed: DataFrame, hits: DataFrame, identity: list[str], params: Params) -> DataFrame:
-    counts = keyed.groupBy(*identity).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = heavy_keys(counts, identity, "_n", params.rows_per_task)
-    found = hits.withColumn("_found", F.lit(True))
-    return balanced_join(keyed, found, identity, heavy, ["FeatureNumber"]).withColumn(
-        "unique_mode", ~is_true(F.col("_found"))
-    ).drop("_found")
+    hits = window_hits(
+        windows, targets, SAME + ["side"], params.cross_rt, ["Mass", "RetentionTime", "own"],
+        rows_per_task=params.rows_per_task, at_most=seen["rows"],
+    )
+    heavy = heavy_keys(places, place, "n", params.rows_per_task, seen["copies"] or 0)
+    found = hits.select(*place, F.lit(True).alias("_found"))
+    marked = balanced_join(keyed, found, place, heavy, ["FeatureNumber"])
+    return marked.withColumn("unique_mode", ~is_true(F.col("_found"))).drop("_found", "own")
 
 
 def cross_mode_union(marked: DataFrame) -> DataFrame:
@@ -163,9 +160,13 @@ def compound_hits(joined: DataFrame) -> DataFrame:
 def join_modes(processed: DataFrame, params: Params = Params()) -> DataFrame:
     """The joined table of all experiments that were measured in both polarities."""
     marked = unique_mode_flags(paired_only(processed), params)
-    joined = settle(cross_mode_union(marked))
-    rows = ["IonMode", "Mass", "RetentionTime", "Score"]
+    joined, seen = settle_and_watch(cross_mode_union(marked))
     counted = with_group(
-        joined, ["ExpID", "Compound"], rows, params.rows_per_task, N_CompoundHits=hit_counts()
-    ).withColumn("N_CompoundHits", F.nullif("N_CompoundHits", F.lit(0)))
+        joined,
+        ["ExpID", "Compound"],
+        ["IonMode", "Mass", "RetentionTime", "Score"],
+        params.rows_per_task,
+        seen["rows"],
+        N_CompoundHits=hit_counts(),
+    )
     return zero_to_null(counted)

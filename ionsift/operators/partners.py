@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ionsift.functions.text import rough_name
 from ionsift.operators.ranges import MASS_CELL, TIME_CELL, Match, matching_pairs, time_cell, window_hits, with_bounds
 from ionsift.operators.skew import balanced_join, heavy_keys, join_on, with_dataset, with_group
 from ionsift.params import DATASET, FEATURE, NEGATIVE_MODES, POSITIVE_MODES, Params
-from ionsift.session import settle
+from ionsift.session import settle, settle_and_watch
 
 POINT = DATASET + ["Mass", "RetentionTime"]
 POLARITIES = {"Positive": POSITIVE_MODES, "Negative": NEGATIVE_MODES}
@@ -24,39 +26,52 @@ def polarity(mode: Column) -> Column:
     return out
 
 
-def _places(features: DataFrame) -> DataFrame:
-    """Distinct places in mass and time with the number of features there.
+@dataclass
+class Places:
+    """Distinct places in mass and time, all the searches need.
 
-    Everything the searches need; copies of a feature are one row from here on.
+    Copies of a feature are one row ``table`` from here on, with their number ``n``. ``tops``
+    has the largest mass of each dataset.
     """
-    return settle(features.groupBy(*POINT).agg(F.count(F.lit(1)).alias("n")))
 
+    table: DataFrame
+    rows: int
+    most_copies: int
+    tops: DataFrame
+    datasets: int
+    top: float
 
-def _with_half(df: DataFrame, masses: DataFrame, ppm: bool, error: float) -> tuple[DataFrame, float]:
-    """Attach the half width ``half`` of the dataset's mass window; also the widest of all.
+    def with_half(self, df: DataFrame, ppm: bool, error: float) -> DataFrame:
+        """Attach the half width ``half`` of the mass window, which in ppm mode follows the
+        largest mass of the dataset."""
+        if not ppm:
+            return df.withColumn("half", F.lit(error / 1000))
+        attached = with_dataset(df, self.tops, DATASET, self.datasets)
+        return attached.withColumn("half", F.col("_top") * error * 1e-6).drop("_top")
 
-    In ppm mode the window follows the largest mass of the dataset.
-    """
-    if not ppm:
-        return df.withColumn("half", F.lit(error / 1000)), error / 1000
-    tops = masses.groupBy(*DATASET).agg(F.max("Mass").alias("_top"))
-    # One small job: the number of datasets decides how they are attached, the largest mass
-    # tells which deltas are clear of the window around 0.
-    n, top = tops.agg(F.count(F.lit(1)), F.max("_top")).first()
-    attached = with_dataset(df, tops, DATASET, n).withColumn("half", F.col("_top") * error * 1e-6).drop("_top")
-    return attached, (top or 0.0) * error * 1e-6
+    def widest(self, ppm: bool, error: float) -> float:
+        return self.top * error * 1e-6 if ppm else error / 1000
 
+    def known(self) -> DataFrame:
+        return self.table.where(F.col("Mass").isNotNull() & F.col("RetentionTime").isNotNull())
 
-def _known(places: DataFrame) -> DataFrame:
-    return places.where(F.col("Mass").isNotNull() & F.col("RetentionTime").isNotNull())
 
+def _places(features: DataFrame) -> Places:
+    table, seen = settle_and_watch(
+        features.groupBy(*POINT).agg(F.count(F.lit(1)).alias("n")), copies=F.max("n"), top=F.max("Mass")
+    )
+    tops = table.groupBy(*DATASET).agg(F.max("Mass").alias("_top"))
+    # One small job: the number of datasets decides how their row is attached.
+    return Places(table, seen["rows"], seen["copies"] or 0, tops, tops.count(), seen["top"] or 0.0)
 
-def _adduct_array(adducts) -> Column:
+
+def _adduct_array(adducts, params: Params) -> Column:
     """The adducts of a row's polarity as an array, empty for an unknown mode."""
-    kind = "array<struct<adduct:string,delta:double>>"
+    kind = "array<struct<adduct:int,delta:double>>"
+    number = params.adduct_names.index
     out = F.array().cast(kind)
     for name, labels in POLARITIES.items():
-        own = [F.struct(F.lit(a).alias("adduct"), F.lit(float(m)).alias("delta")) for p, a, m in adducts if p == name]
+        own = [F.struct(F.lit(number(a)).alias("adduct"), F.lit(float(m)).alias("delta")) for p, a, m in adducts if p == name]
         if own:
             out = F.when(F.col("IonMode").isin(*labels), F.array(*own).cast(kind)).otherwise(out)
     return out
@@ -66,12 +81,12 @@ def _match(params: Params) -> Match:
     return Match("delta", "half", params.adduct_rt, params.adduct_error if params.adduct_ppm else None)
 
 
-def _pairs(features: DataFrame, adducts, params: Params) -> DataFrame:
+def _pairs(features: DataFrame, places: Places, adducts, params: Params) -> DataFrame:
     match = _match(params)
     slim = features.select(*FEATURE, "Mass", "RetentionTime")
-    table, _ = _with_half(slim, slim, params.adduct_ppm, params.adduct_error)
+    table = places.with_half(slim, params.adduct_ppm, params.adduct_error)
     a = table.withColumnRenamed("Mass", "a_mass").withColumnRenamed("RetentionTime", "a_rt")
-    a = a.withColumn("_x", F.explode(_adduct_array(adducts))).select(
+    a = a.withColumn("_x", F.explode(_adduct_array(adducts, params))).select(
         *FEATURE, "a_mass", "a_rt", "half", "_x.adduct", "_x.delta"
     )
     scale = lambda mass: F.expr(f"{match.axis(mass, around_zero=False)} / {MASS_CELL}D")
@@ -93,77 +108,66 @@ def _pairs(features: DataFrame, adducts, params: Params) -> DataFrame:
 
 def adduct_pairs(features: DataFrame, params: Params = Params()) -> DataFrame:
     """Every pair of features of a dataset whose masses differ by an adduct of its polarity."""
-    return _pairs(features, params.adducts, params).select(
+    names = F.array(*[F.lit(n) for n in params.adduct_names])
+    return _pairs(features, _places(features), params.adducts, params).select(
         *FEATURE,
         F.col("a_mass").alias("Mass"),
         F.col("a_rt").alias("RetentionTime"),
-        "adduct",
+        names[F.col("adduct")].alias("adduct"),
         "adduct_FeatureNumber",
         F.col("b_mass").alias("adduct_Mass"),
         F.col("b_rt").alias("adduct_RetentionTime"),
     )
 
 
-def _adduct_hits(features: DataFrame, places: DataFrame, params: Params) -> DataFrame:
-    """(place, tag) for every place with a partner; a tag is the flag column it sets."""
-    points, widest = _with_half(_known(places), places, params.adduct_ppm, params.adduct_error)
+def _adduct_tags(params: Params) -> list[str]:
+    """The flag columns; a hit's ``tag`` is a position in this list."""
+    return [f"{verb}_{name}_adduct" for name in params.adduct_names for verb in ("is", "has")]
+
+
+def _adduct_hits(features: DataFrame, places: Places, params: Params) -> DataFrame:
+    """(place, tag) for every place with a partner; a tag names the flag column it sets."""
+    widest = places.widest(params.adduct_ppm, params.adduct_error)
     clear = [x for x in params.adducts if x[2] > widest]
     close = [x for x in params.adducts if x[2] <= widest]
+    is_tag, has_tag = (F.col("adduct") * 2).alias("tag"), (F.col("adduct") * 2 + 1).alias("tag")
     out = []
     if clear:
         match = _match(params)
         scale = lambda mass: F.expr(f"{match.axis(mass, around_zero=False)} / {MASS_CELL}D")
-        ends = lambda verb: F.struct(
-            F.concat(F.lit(verb + "_"), F.col("adduct"), F.lit("_adduct")).alias("tag"),
-            F.col(f"{verb}_low").alias("low"),
-            F.col(f"{verb}_high").alias("high"),
-        )
-        asked = points.withColumn("_x", F.explode(_adduct_array(clear))).select(
+        points = places.with_half(places.known(), params.adduct_ppm, params.adduct_error)
+        asked = points.withColumn("_x", F.explode(_adduct_array(clear, params))).select(
             *POINT, "half", "_x.adduct", "_x.delta"
         )
-        asked = with_bounds(asked, has=match.partners_above("Mass"), **{"is": match.partners_below("Mass")})
+        asked = with_bounds(asked, above=match.partners_above("Mass"), below=match.partners_below("Mass"))
+        ends = lambda tag, way: F.struct(
+            tag, F.col(f"{way}_low").alias("low"), F.col(f"{way}_high").alias("high")
+        )
         windows = (
-            asked.withColumn("_w", F.explode(F.array(ends("has"), ends("is"))))
-            .select(*POINT, "half", "_w.tag", "_w.low", "_w.high", F.col("RetentionTime").alias("rt"))
+            asked.withColumn("_w", F.explode(F.array(ends(has_tag, "above"), ends(is_tag, "below"))))
+            .select(*POINT, "half", "_w.tag", "_w.low", "_w.high")
             .withColumns({"axis_low": scale("low"), "axis_high": scale("high")})
         )
-        targets = points.select(
-            *DATASET, F.col("Mass").alias("mass"), F.col("RetentionTime").alias("rt"), scale("Mass").alias("axis")
-        )
+        targets = points.select(*DATASET, F.col("Mass").alias("mass"), "RetentionTime", scale("Mass").alias("axis"))
         out.append(
             window_hits(
-                windows, targets, DATASET, params.adduct_rt, POINT + ["tag"], rows_per_task=params.rows_per_task
+                windows, targets, DATASET, params.adduct_rt, ["Mass", "RetentionTime", "tag"],
+                rows_per_task=params.rows_per_task, at_most=places.rows,
             )
         )
     if close:
         # A delta inside the window around 0 would let a feature find itself: go by pairs.
-        pairs = _pairs(features, close, params)
-        found = pairs.select(
-            *DATASET,
-            F.explode(
-                F.array(
-                    F.struct(
-                        F.col("a_mass").alias("Mass"),
-                        F.col("a_rt").alias("RetentionTime"),
-                        F.concat(F.lit("has_"), F.col("adduct"), F.lit("_adduct")).alias("tag"),
-                        F.col("FeatureNumber").alias("id"),
-                    ),
-                    F.struct(
-                        F.col("b_mass").alias("Mass"),
-                        F.col("b_rt").alias("RetentionTime"),
-                        F.concat(F.lit("is_"), F.col("adduct"), F.lit("_adduct")).alias("tag"),
-                        F.col("adduct_FeatureNumber").alias("id"),
-                    ),
-                )
-            ).alias("_x"),
-        ).select(*DATASET, "_x.*")
-        # Same place, same partners, save for the id test: two features at a place that match
-        # each other both match, so the place speaks for all features there.
-        out.append(found.select(*POINT, "tag").distinct())
+        # The partners of a place are those of each feature there, so the place stands for them.
+        ends = lambda side, tag: F.struct(
+            F.col(f"{side}_mass").alias("Mass"), F.col(f"{side}_rt").alias("RetentionTime"), tag
+        )
+        found = F.explode(F.array(ends("a", has_tag), ends("b", is_tag))).alias("_x")
+        pairs = _pairs(features, places, close, params)
+        out.append(pairs.select(*DATASET, found).select(*DATASET, "_x.*").distinct())
     return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
-def _duplicate_hits(places: DataFrame, params: Params) -> DataFrame:
+def _duplicate_hits(places: Places, params: Params) -> DataFrame:
     """Places with a duplicate, without listing pairs.
 
     Cells are narrower than the tolerances: two features in one cell are duplicates of each
@@ -172,7 +176,7 @@ def _duplicate_hits(places: DataFrame, params: Params) -> DataFrame:
     match = Match("0D", "half", params.duplicate_rt, params.duplicate_error if params.duplicate_ppm else None)
     scale = lambda mass: F.expr(f"{match.axis(mass, around_zero=True)} / {TIME_CELL}D")
     by = DATASET + (["RetentionTime"] if params.duplicate_rt == 0 else [])
-    points, _ = _with_half(_known(places), places, params.duplicate_ppm, params.duplicate_error)
+    points = places.with_half(places.known(), params.duplicate_ppm, params.duplicate_error)
     placed = points.withColumns(
         {
             "axis": scale("Mass"),
@@ -181,44 +185,41 @@ def _duplicate_hits(places: DataFrame, params: Params) -> DataFrame:
         }
     )
     cell = by + ["own_cell", "own_rcell"]
-    counted = settle(with_group(placed, cell, ["Mass", "RetentionTime"], params.rows_per_task, members=F.sum("n")))
+    counted = with_group(
+        placed, cell, ["Mass", "RetentionTime"], params.rows_per_task, places.rows, members=F.sum("n")
+    )
+    if places.rows > params.rows_per_task:
+        counted = settle(counted)
     alone = counted.where(F.col("members") == 1)
     alone = with_bounds(alone, above=match.partners_above("Mass"), below=match.partners_below("Mass"))
-    windows = (
-        alone.withColumns(
-            {"low": F.least("above_low", "below_low"), "high": F.greatest("above_high", "below_high")}
-        )
-        .withColumns({"axis_low": scale("low"), "axis_high": scale("high")})
-        .withColumn("rt", F.col("RetentionTime"))
-    )
-    targets = placed.select(*DATASET, F.col("Mass").alias("mass"), F.col("RetentionTime").alias("rt"), "axis")
+    windows = alone.withColumns(
+        {"low": F.least("above_low", "below_low"), "high": F.greatest("above_high", "below_high")}
+    ).withColumns({"axis_low": scale("low"), "axis_high": scale("high")})
+    targets = placed.select(*DATASET, F.col("Mass").alias("mass"), "RetentionTime", "axis")
     around = window_hits(
         windows,
         targets,
         DATASET,
         params.duplicate_rt,
-        POINT,
+        ["Mass", "RetentionTime"],
         skip_cell=(F.col("cell") == F.col("own_cell")) & (F.col("rcell") == F.col("own_rcell")),
         rows_per_task=params.rows_per_task,
+        at_most=places.rows,
     )
     together = counted.where(F.col("members") > 1).select(*POINT)
-    return together.unionByName(around).withColumn("tag", F.lit("Duplicate_Flag"))
+    return together.unionByName(around)
 
 
 def _with_tags(
-    features: DataFrame, places: DataFrame, hits: DataFrame, tags: list[str], params: Params
+    features: DataFrame, places: Places, hits: DataFrame, tags: list[str], params: Params
 ) -> DataFrame:
     """Turn (place, tag) into one boolean column per tag on the features of the place."""
-    flags = hits.groupBy(*POINT).agg(*[F.bool_or(F.col("tag") == t).alias(t) for t in tags])
-    heavy = heavy_keys(places, POINT, "n", params.rows_per_task)
+    flags = hits.groupBy(*POINT).agg(*[F.bool_or(F.col("tag") == i).alias(t) for i, t in enumerate(tags)])
+    heavy = heavy_keys(places.table, POINT, "n", params.rows_per_task, places.most_copies)
     joined = balanced_join(features, flags, POINT, heavy, ["FeatureNumber"])
     return joined.withColumns({t: is_true(F.col(t)) for t in tags})
 
 
-def _adduct_tags(params: Params) -> list[str]:
-    return [f"{verb}_{name}_adduct" for name in params.adduct_names for verb in ("is", "has")]
-
-
 def _own_polarity_only(flagged: DataFrame, params: Params) -> DataFrame:
     """Adducts of the other polarity were not searched: their flags are NULL."""
     out = {}
@@ -266,12 +267,14 @@ def _with_keep(flagged: DataFrame) -> DataFrame:
 def duplicate_flags(features: DataFrame, params: Params = Params()) -> DataFrame:
     """``Duplicate_Flag`` and ``Duplicate_Keep_Flag`` of every feature."""
     places = _places(features)
-    return _with_keep(_with_tags(features, places, _duplicate_hits(places, params), ["Duplicate_Flag"], params))
+    hits = _duplicate_hits(places, params).withColumn("tag", F.lit(0))
+    return _with_keep(_with_tags(features, places, hits, ["Duplicate_Flag"], params))
 
 
 def partner_flags(features: DataFrame, params: Params = Params()) -> DataFrame:
     """Adduct and duplicate flags together, brought back to the features by one join."""
     places = _places(features)
-    hits = _adduct_hits(features, places, params).unionByName(_duplicate_hits(places, params))
     tags = _adduct_tags(params) + ["Duplicate_Flag"]
+    duplicates = _duplicate_hits(places, params).withColumn("tag", F.lit(len(tags) - 1))
+    hits = _adduct_hits(features, places, params).unionByName(duplicates)
     return _with_keep(_own_polarity_only(_with_tags(features, places, hits, tags, params), params))

@@ -197,61 +197,62 @@ def window_hits(
     identity: list[str],
     skip_cell: Column | None = None,
     rows_per_task: int = 100_000,
+    at_most: int | None = None,
     slices: int = SLICES,
 ) -> DataFrame:
-    """The ``identity`` of every window that holds at least one point.
+    """``by`` and ``identity`` of every window that holds at least one point.
 
-    ``windows``: ``by``, ``identity``, ``rt``, ``low``/``high``, ``axis_low``/``axis_high``
-    (the bounds in cell units); ``points``: ``by``, ``mass``, ``rt``, ``axis``. ``skip_cell``
-    leaves out cells of a window by the columns ``cell`` and ``rcell``.
+    ``windows``: ``by``, ``identity`` (with ``RetentionTime``, the window's centre in time),
+    ``low``/``high``, and ``axis_low``/``axis_high`` (the bounds in cell units); ``points``:
+    ``by``, ``mass``, ``RetentionTime``, ``axis``. ``skip_cell`` leaves out cells of a window by
+    the columns ``cell`` and ``rcell``. ``at_most`` is a known bound on the number of points.
     """
+    centre = F.col("RetentionTime")
+    key = by
     if rt_tolerance == 0:
-        windows, points = windows.withColumn("_rt_key", F.col("rt")), points.withColumn("_rt_key", F.col("rt"))
-        by = by + ["_rt_key"]
-    place = by + ["cell", "rcell"]
+        key = by + ["_rt_key"]
+        windows, points = windows.withColumn("_rt_key", centre), points.withColumn("_rt_key", centre)
+    place = key + ["cell", "rcell"]
 
     # Equal masses in a cell matter only by their earliest and latest time: combined before the
     # shuffle, so copies of a point cost one row.
-    occupied = settle(
-        points.where(F.col("axis").isNotNull() & F.col("rt").isNotNull())
-        .select(
-            *by,
-            F.floor("axis").alias("cell"),
-            time_cell(F.col("rt"), rt_tolerance).alias("rcell"),
-            "mass",
-            "axis",
-            "rt",
-        )
+    occupied = (
+        points.where(F.col("axis").isNotNull() & centre.isNotNull())
+        .select(*key, F.floor("axis").alias("cell"), time_cell(centre, rt_tolerance).alias("rcell"), "mass", "axis", centre)
         .groupBy(*place, "mass", "axis")
-        .agg(F.max("rt").alias("latest"), F.min("rt").alias("earliest"))
+        .agg(F.max(centre).alias("latest"), F.min(centre).alias("earliest"))
     )
-    per_cell = occupied.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
-    crowded = heavy_keys(per_cell, place, "_n", rows_per_task)
+    crowded = None
+    if at_most is None or at_most > rows_per_task:
+        occupied = settle(occupied)
+        per_cell = occupied.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+        crowded = heavy_keys(per_cell, place, "_n", rows_per_task)
 
     # A window looks at a cell upwards to its upper bound, or downwards to its lower bound; the
     # latter is the same sweep over negated masses.
     looking = (
-        windows.where((F.col("low") <= F.col("high")) & F.col("rt").isNotNull())
+        windows.where((F.col("low") <= F.col("high")) & centre.isNotNull())
         .withColumns({"_from": F.floor("axis_low"), "_to": F.floor("axis_high")})
         .withColumn("cell", F.explode(F.sequence("_from", "_to")))
-        .withColumn("rcell", F.explode(_time_cells(F.col("rt"), rt_tolerance)))
+        .withColumn("rcell", F.explode(_time_cells(centre, rt_tolerance)))
     )
     if skip_cell is not None:
         looking = looking.where(~skip_cell)
-    own = time_cell(F.col("rt"), rt_tolerance)
     down = F.col("cell") == F.col("_from")
     inf = F.lit(float("inf"))
     whole = ~down & (F.col("cell") < F.col("_to"))
+    side = F.signum(F.col("rcell") - time_cell(centre, rt_tolerance)).cast("byte")
     looking = looking.select(
         *place,
-        F.when(down, F.lit(-1)).otherwise(1).alias("way"),
+        F.when(down, F.lit(-1)).otherwise(1).cast("byte").alias("way"),
         F.when(down, -F.col("low")).when(whole, inf).otherwise(F.col("high")).alias("pos"),
         F.when(down, F.col("axis_low")).when(whole, inf).otherwise(F.col("axis_high")).alias("axis"),
-        F.struct(*identity, "rt", F.signum(F.col("rcell") - own).alias("side")).alias("w"),
+        F.struct(*identity, side.alias("side")).alias("w"),
         F.lit(None).cast("double").alias("latest"),
         F.lit(None).cast("double").alias("earliest"),
     )
-    swept = occupied.withColumn("way", F.explode(F.array(F.lit(-1), F.lit(1)))).select(
+    ways = F.array(F.lit(-1).cast("byte"), F.lit(1).cast("byte"))
+    swept = occupied.withColumn("way", F.explode(ways)).select(
         *place,
         "way",
         (F.col("mass") * F.col("way")).alias("pos"),
@@ -264,7 +265,9 @@ def window_hits(
     rows = looking.unionByName(swept)
     lane = place + ["way"]
     whole_cell = F.col("axis") == inf
-    if crowded is not None:
+    if crowded is None:
+        rows = rows.drop("axis")
+    else:
         # A crowded cell is cut into mass slices; what lies in earlier slices is added afterwards.
         part = F.least(F.floor((F.col("axis") - F.col("cell")) * slices), F.lit(slices - 1))
         part = F.when(whole_cell, slices).when(F.col("way") == 1, part).otherwise(slices - 1 - part)
@@ -275,7 +278,7 @@ def window_hits(
     answers = (
         rows.withColumns({"best_latest": F.max("latest").over(sweep), "best_earliest": F.min("earliest").over(sweep)})
         .where(F.col("w").isNotNull())
-        .select("w", "best_latest", "best_earliest")
+        .select(*by, "w", "best_latest", "best_earliest")
     )
     if crowded is not None:
         sliced = rows.where(F.col("_parts").isNotNull())
@@ -289,12 +292,13 @@ def window_hits(
         )
         asking = sliced.where(F.col("w").isNotNull()).select(*lane, "w")
         answers = answers.unionByName(
-            join_on(asking, before, lane, "inner").select("w", "best_latest", "best_earliest")
+            join_on(asking, before, lane, "inner").select(*by, "w", "best_latest", "best_earliest")
         )
 
+    own_time = F.col("w.RetentionTime")
     found = (
-        F.when(F.col("w.side") < 0, F.abs(F.col("w.rt") - F.col("best_latest")) <= rt_tolerance)
-        .when(F.col("w.side") > 0, F.abs(F.col("w.rt") - F.col("best_earliest")) <= rt_tolerance)
+        F.when(F.col("w.side") < 0, F.abs(own_time - F.col("best_latest")) <= rt_tolerance)
+        .when(F.col("w.side") > 0, F.abs(own_time - F.col("best_earliest")) <= rt_tolerance)
         .otherwise(F.col("best_latest").isNotNull())
     )
-    return answers.where(found).select(*[F.col(f"w.{c}").alias(c) for c in identity]).distinct()
+    return answers.where(found).select(*by, *[F.col(f"w.{c}").alias(c) for c in identity]).distinct()

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from ionsift.functions.nulls import ifelse, known
 from ionsift.operators.skew import join_on
 from ionsift.params import DATASET, SAMPLE, Params
+from ionsift.session import settle_and_watch
 
 # The quantile sketch keeps every value of a group of up to EXACT_UP_TO values (its rank error
 # times the count stays below one rank), and at most about ACCURACY entries of a larger one.
@@ -28,8 +29,7 @@ def _exact_medians(values: DataFrame, large: DataFrame, keys: list[str]) -> Data
     ``large`` has the keys, the count ``_n`` and the bracket ``_lo``/``_hi`` from the sketch.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
-    # At most BUCKETS rows: drops nearly all other groups before anything is shuffled, and with
-    # no large group the empty broadcast ends this branch before the second scan starts.
+    # At most BUCKETS rows: drops nearly all other groups before anything is shuffled.
     suspects = values.where(F.col("_v").isNotNull()).withColumn("_bucket", bucket).join(
         F.broadcast(large.select(bucket.alias("_bucket")).distinct()), "_bucket", "left_semi"
     )
@@ -57,7 +57,8 @@ def replicate_stats(
 ) -> DataFrame:
     """Count, median, mean, spread of the replicates of each feature in each sample.
 
-    One shuffle: every aggregate is combined on the map side with bounded memory. The median is
+    One shuffle: every aggregate is combined on the map side with bounded memory. The result is
+    written once, since both the median's size check and all later steps read it. The median is
     exact; groups beyond ``exact_up_to`` values get it from a second look at their middle only.
     """
     values = abundance.select(*SAMPLE, known(F.col("volume")).alias("_v"))
@@ -66,22 +67,23 @@ def replicate_stats(
     groups = values.groupBy(*SAMPLE).agg(
         F.count("_v").alias("NAbun"),
         F.expr(f"percentile_approx(_v, {points}, {accuracy})").alias("_q"),
-        F.avg("_v").alias("_mean"),
-        F.stddev_samp("_v").alias("_sd"),
+        F.bround(F.avg("_v"), 0).alias("MeanAbun"),
+        F.bround(F.stddev_samp("_v"), 2).alias("StdAbun"),
         F.count(F.lit(1)).alias("Count"),
     )
-    large = groups.where(F.col("NAbun") > exact_up_to).select(
-        *SAMPLE, F.col("NAbun").alias("_n"), F.col("_q")[2].alias("_lo"), F.col("_q")[3].alias("_hi")
-    )
-    medians = join_on(groups, _exact_medians(values, large, SAMPLE), SAMPLE)
-    return medians.select(
-        *SAMPLE,
-        "NAbun",
-        F.bround(F.coalesce("_exact", _middle(F.col("_q"))), 0).alias("MedAbun"),
-        F.bround("_mean", 0).alias("MeanAbun"),
-        F.bround("_sd", 2).alias("StdAbun"),
-        "Count",
-    )
+    q = F.col("_q")
+    groups = groups.select(
+        "*", _middle(q).alias("_middle"), q[2].alias("_lo"), q[3].alias("_hi")
+    ).drop("_q")
+    table, seen = settle_and_watch(groups, largest=F.max("NAbun"))
+    middle = F.col("_middle")
+    if (seen["largest"] or 0) > exact_up_to:
+        large = table.where(F.col("NAbun") > exact_up_to).select(
+            *SAMPLE, F.col("NAbun").alias("_n"), "_lo", "_hi"
+        )
+        table = join_on(table, _exact_medians(values, large, SAMPLE), SAMPLE)
+        middle = F.coalesce("_exact", middle)
+    return table.select(*SAMPLE, "NAbun", F.bround(middle, 0).alias("MedAbun"), "MeanAbun", "StdAbun", "Count")
 
 
 def _ratio(sd: Column, mean: Column) -> Column:

@@ -24,13 +24,18 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def heavy_keys(counts: DataFrame, keys: list[str], n: str, rows_per_task: int) -> DataFrame | None:
+def heavy_keys(
+    counts: DataFrame, keys: list[str], n: str, rows_per_task: int, at_most: int | None = None
+) -> DataFrame | None:
     """Keys holding too many rows for one task, with the number of parts to cut them into.
 
     ``counts`` has one row per key. A small job looks at the counts: without a heavy key (the
     usual case) the answer is None and joins stay plain. Otherwise the heavy keys, at most
-    MAX_HEAVY rows, come back as a local table.
+    MAX_HEAVY rows, come back as a local table. ``at_most`` is a known bound on the rows of any
+    key, such as the size of the whole table; below one task's share there is nothing to look at.
     """
+    if at_most is not None and at_most <= rows_per_task:
+        return None
     total, top = counts.agg(F.sum(n), F.max(n)).first()
     share = max((total or 0) / MAX_HEAVY, rows_per_task)
     if not top or top <= share:
@@ -100,6 +105,7 @@ def with_group(
     keys: list[str],
     by: list[str],
     rows_per_task: int,
+    at_most: int | None = None,
     **aggregates: Column,
 ) -> DataFrame:
     """Attach group aggregates to every row; NULL keys form a group.
@@ -111,7 +117,7 @@ def with_group(
     groups = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), *[expr.alias(name) for name, expr in aggregates.items()]
     )
-    heavy = heavy_keys(groups, keys, "_n", rows_per_task)
+    heavy = heavy_keys(groups, keys, "_n", rows_per_task, at_most)
     return balanced_join(df, groups.drop("_n"), keys, heavy, by, "left", null_safe=True)
 
 

@@ -85,13 +85,15 @@ def process(
 ) -> Processed:
     """The whole run for any number of experiments and modes.
 
-    Replicate statistics and the flags are each read by several branches, so they are settled;
-    sample rows are shuffled once by feature and every later join finds them in place.
+    Replicate statistics and the flags are each read by several branches, so they are written
+    once; sample rows are shuffled by feature and every later join finds them in place.
     """
-    stats = settle(replicate_summary(abundance, params))
+    stats = replicate_summary(abundance, params)
     blanked, heavy = blank_subtract_in_parts(stats, params)
     counts = sample_counts(stats) if params.min_samples_is_fraction else None
-    from_samples = settle(sample_flags(blanked, params, counts))
+    from_samples = sample_flags(blanked, params, counts)
+    if params.prefilter:
+        from_samples = settle(from_samples)
     flags = settle(all_flags(features, from_samples, params))
 
     rows = blanked

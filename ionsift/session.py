@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -17,6 +18,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "16384")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
@@ -45,3 +47,10 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle_and_watch(df: DataFrame, **watched: Column) -> tuple[DataFrame, dict]:
+    """``settle``, with the row count ``rows`` and other aggregates taken while writing."""
+    seen = Observation()
+    table = settle(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in watched.items()]))
+    return table, seen.get
