@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ionsift.functions.nulls import clamp0, is_true
 from ionsift.functions.text import rep_digits
-from ionsift.operators.skew import balanced_join, heavy_keys, join_on, part_key, repeat, spread
+from ionsift.operators.skew import balanced_join, heavy_keys, join_on, part_key, repeat, spread, with_dataset
 from ionsift.params import DATASET, FEATURE, Params
 
 BLANK = "Blank"
@@ -75,8 +75,8 @@ def _too_few(counts: DataFrame, params: Params, sample_counts: DataFrame | None)
         return counts.withColumn("FalseSampleFeature_Flag", F.col("PresentInSamples") < params.min_samples)
     if sample_counts is None:
         raise ValueError("fraction mode needs the number of samples per dataset")
-    # One row per dataset; left to the optimizer, which broadcasts by measured size.
-    shared = join_on(counts, sample_counts, DATASET)
+    # One row per dataset, counted first: the count decides how it is joined.
+    shared = with_dataset(counts, sample_counts, DATASET, sample_counts.count())
     return shared.withColumn(
         "FalseSampleFeature_Flag", F.col("PresentInSamples") / F.col("n_samples") <= params.min_samples
     ).drop("n_samples")
@@ -109,12 +109,13 @@ def sample_flags(blanked: DataFrame, params: Params = Params(), sample_counts: D
 def replicate_long(abundance: DataFrame, blanked: DataFrame, params: Params = Params()) -> DataFrame:
     """Single injections minus the blank, for runs that do not collapse replicates."""
     blanks = blanked.groupBy(*FEATURE).agg(
-        F.max("Blank_avgvol").alias("Blank_avgvol"), F.max("Blank_medvol").alias("Blank_medvol")
+        F.max("Blank_avgvol").alias("Blank_avgvol"),
+        F.max("Blank_medvol").alias("Blank_medvol"),
+        F.coalesce(F.sum("Count"), F.lit(0)).alias("_n"),
     )
     rows = abundance.where(F.col("SampleDetail") != BLANK)
-    counts = rows.groupBy(*FEATURE).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = heavy_keys(counts, FEATURE, "_n", params.rows_per_task)
-    joined = balanced_join(rows, blanks, FEATURE, heavy, ["SampleDetail", "Rep", "volume"])
+    heavy = heavy_keys(blanks, FEATURE, "_n", params.rows_per_task)
+    joined = balanced_join(rows, blanks.drop("_n"), FEATURE, heavy, ["SampleDetail", "Rep", "volume"])
     measured = joined.withColumns({"MeanAbun": F.col("volume"), "MedAbun": F.col("volume")})
     digits = rep_digits(F.col("Rep"))
     return _subtract(measured).withColumns(

@@ -77,7 +77,7 @@ def cross_mode_match(features: DataFrame, params: Params = Params()) -> DataFram
     )
     pairs = matching_pairs(
         pos, neg, SAME, match, ["IonMode", "FeatureNumber", "Score"],
-        ["match_FeatureNumber", "match_IonMode", "match_Score"],
+        ["match_FeatureNumber", "match_IonMode", "match_Score"], params.rows_per_task,
     )
     return pairs.select(
         *FEATURE, "Compound", "Score",

@@ -101,7 +101,8 @@ def _pairs(features: DataFrame, places: Places, adducts, params: Params) -> Data
         scale("Mass").alias("axis"),
     )
     pairs = matching_pairs(
-        a, b, DATASET, match, ["FeatureNumber", "adduct", "delta", "half"], ["adduct_FeatureNumber"]
+        a, b, DATASET, match, ["FeatureNumber", "adduct", "delta", "half"], ["adduct_FeatureNumber"],
+        params.rows_per_task, places.rows * max(places.most_copies, 1) * max(len(adducts), 1),
     )
     return pairs.where(F.col("FeatureNumber") != F.col("adduct_FeatureNumber"))
 

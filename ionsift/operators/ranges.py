@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ionsift.operators.skew import heavy_keys, join_on
+from ionsift.operators.skew import balanced_join, heavy_keys, join_on
 from ionsift.session import settle
 
 MASS_CELL = 0.9
@@ -162,14 +162,21 @@ def _time_cells(rt: Column, tolerance: float) -> Column:
 
 
 def matching_pairs(
-    windows: DataFrame, points: DataFrame, by: list[str], match: Match, carry_left: list[str], carry_right: list[str]
+    windows: DataFrame,
+    points: DataFrame,
+    by: list[str],
+    match: Match,
+    carry_left: list[str],
+    carry_right: list[str],
+    rows_per_task: int = 100_000,
+    at_most: int | None = None,
 ) -> DataFrame:
     """All (window feature, point) pairs that match, as an equi-join on grid cells.
 
     ``windows``: ``by``, ``a_mass``, ``a_rt``, ``axis_low``/``axis_high`` and ``carry_left``, which
     holds what ``match`` refers to; ``points``: ``by``, ``b_mass``, ``b_rt``, ``axis`` and
     ``carry_right``. Every point lies in one cell, so a pair is found once, and the result is as
-    large as the number of true pairs.
+    large as the number of true pairs. A cell many windows look at is cut into parts.
     """
     left = (
         windows.where(F.col("axis_low").isNotNull() & F.col("axis_high").isNotNull() & F.col("a_rt").isNotNull())
@@ -185,7 +192,11 @@ def matching_pairs(
         "b_mass",
         "b_rt",
     )
-    met = join_on(left, right, by + ["cell", "rcell"], "inner")
+    place = by + ["cell", "rcell"]
+    heavy = heavy_keys(
+        left.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")), place, "_n", rows_per_task, at_most
+    )
+    met = balanced_join(left, right, place, heavy, carry_left, "inner")
     return met.where(match.pair_test("a_mass", "a_rt", "b_mass", "b_rt")).drop("cell", "rcell")
 
 

@@ -126,11 +126,14 @@ def number_rows(df: DataFrame, groups: list[str], order: list[Column], name: str
 
     One range-partitioned sort gives every row its (partition, position). The sorted rows are
     settled, since the offsets below read them a second time and must see the same split. Rows
-    equal in every sort column are split across tasks by a hash of the whole row.
+    equal in the sort columns are ordered by a hash of the whole row; copies of a row, which are
+    interchangeable, by their place in the input, so that they too spread over tasks.
     """
     everything = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     placed = settle(
-        df.orderBy(*[F.col(f"`{g}`").asc_nulls_first() for g in groups], *order, everything)
+        df.withColumns({"_hash": everything, "_row": F.monotonically_increasing_id()})
+        .orderBy(*[F.col(f"`{g}`").asc_nulls_first() for g in groups], *order, "_hash", "_row")
+        .drop("_hash", "_row")
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_chunk", F.shiftright("_at", 33))
     )
@@ -138,9 +141,7 @@ def number_rows(df: DataFrame, groups: list[str], order: list[Column], name: str
     # One row per group and sort partition; without groups, one row per sort partition.
     chunks = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     earlier = (
-        Window.partitionBy(*(groups or [F.lit(0)]))
-        .orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = chunks.select(*keys, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     numbered = join_on(placed, starts, keys, "inner", null_safe=bool(groups))

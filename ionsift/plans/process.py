@@ -54,6 +54,9 @@ class Processed:
     def filtered(self, params: Params) -> DataFrame:
         return final_filter(self.raw_flagged(params))
 
+    def filtered_wide(self) -> DataFrame:
+        return final_filter(self.wide)
+
 
 def long_columns(params: Params) -> list[str]:
     return FEATURE + [

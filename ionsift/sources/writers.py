@@ -7,7 +7,6 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionsift.operators.quality import final_filter
 from ionsift.params import Params
 from ionsift.plans.process import Processed
 
@@ -43,7 +42,7 @@ def write_run(result: Processed, root: str, params: Params = Params(), **options
         out[RAW_FLAGGED] = write_table(result.raw_flagged(params), root, RAW_FLAGGED, **options)
     out[FILTERED] = write_table(result.filtered(params), root, FILTERED, **options)
     if params.paired and not params.output_wide:
-        out[FILTERED_WIDE] = write_table(final_filter(result.wide), root, FILTERED_WIDE, **options)
+        out[FILTERED_WIDE] = write_table(result.filtered_wide(), root, FILTERED_WIDE, **options)
     return out
 
 

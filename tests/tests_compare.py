@@ -1,4 +1,4 @@
-"""Run registered queries next to their SQL check: ``python tests/compare.py DIR [name ...]``."""
+"""Run registered queries next to their SQL check: ``python tests/tests_compare.py DIR [name ...]``."""
 
 import math
 import sys
