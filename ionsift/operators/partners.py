@@ -47,7 +47,7 @@ class Places:
         if not ppm:
             return df.withColumn("half", F.lit(error / 1000))
         attached = with_dataset(df, self.tops, DATASET, self.datasets)
-        return attached.withColumn("half", F.col("_top") * error * 1e-6).drop("_top")
+        return attached.withColumn("half", F.nullif(F.col("_top") * error * 1e-6, F.lit(0.0))).drop("_top")
 
     def widest(self, ppm: bool, error: float) -> float:
         return self.top * error * 1e-6 if ppm else error / 1000
@@ -184,7 +184,7 @@ def _duplicate_hits(places: Places, params: Params) -> DataFrame:
             "own_cell": F.floor(scale("Mass")),
             "own_rcell": time_cell(F.col("RetentionTime"), params.duplicate_rt),
         }
-    )
+    ).where(F.col("axis").isNotNull())
     cell = by + ["own_cell", "own_rcell"]
     counted = with_group(
         placed, cell, ["Mass", "RetentionTime"], params.rows_per_task, places.rows, members=F.sum("n")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ionsift.functions.nulls import ifelse, known
-from ionsift.operators.skew import join_on
+from ionsift.operators.skew import MAX_HEAVY, join_on
 from ionsift.params import DATASET, SAMPLE, Params
 from ionsift.session import settle_and_watch
 
@@ -23,10 +23,11 @@ def _middle(quantiles: Column) -> Column:
     return (quantiles[0] + quantiles[1]) / 2
 
 
-def _exact_medians(values: DataFrame, large: DataFrame, keys: list[str]) -> DataFrame:
+def _exact_medians(values: DataFrame, large: DataFrame, keys: list[str], few: bool) -> DataFrame:
     """Medians of the groups in ``large``, by counting below a bracket that holds the middle.
 
-    ``large`` has the keys, the count ``_n`` and the bracket ``_lo``/``_hi`` from the sketch.
+    ``large`` has the keys, the count ``_n`` and the bracket ``_lo``/``_hi`` from the sketch;
+    ``few`` says that it was counted and is small enough to broadcast.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
     # At most BUCKETS rows: drops nearly all other groups before anything is shuffled.
@@ -34,7 +35,7 @@ def _exact_medians(values: DataFrame, large: DataFrame, keys: list[str]) -> Data
         F.broadcast(large.select(bucket.alias("_bucket")).distinct()), "_bucket", "left_semi"
     )
     counted = suspects.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    near = join_on(counted, large, keys, "inner").where(F.col("_v") <= F.col("_hi"))
+    near = join_on(counted, F.broadcast(large) if few else large, keys, "inner").where(F.col("_v") <= F.col("_hi"))
     # One row per group for all values under the bracket; the values inside stay single.
     inside = F.col("_v") >= F.col("_lo")
     steps = near.groupBy(*keys, "_n", F.when(inside, F.col("_v")).alias("_v")).agg(F.sum("_c").alias("_c"))
@@ -44,11 +45,14 @@ def _exact_medians(values: DataFrame, large: DataFrame, keys: list[str]) -> Data
     reached = steps.withColumn("_upto", upto)
     lower = F.floor((F.col("_n") + 1) / 2)
     upper = F.floor(F.col("_n") / 2) + 1
-    return reached.groupBy(*keys).agg(
-        (
-            (F.min(F.when(F.col("_upto") >= lower, F.col("_v"))) + F.min(F.when(F.col("_upto") >= upper, F.col("_v"))))
-            / 2
-        ).alias("_exact")
+    below = F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_upto"))), F.lit(0))
+    at = lambda rank: F.min(F.when(F.col("_upto") >= rank, F.col("_v")))
+    missed = (below >= lower) | (F.max("_upto") < upper)
+    return (
+        reached.groupBy(*keys, "_n")
+        .agg(((at(lower) + at(upper)) / 2).alias("_exact"), missed.alias("_missed"))
+        .withColumn("_exact", F.when(F.col("_missed"), F.raise_error(F.lit("median outside its bracket"))).otherwise(F.col("_exact")))
+        .select(*keys, "_exact")
     )
 
 
@@ -62,7 +66,7 @@ def replicate_stats(
     exact; groups beyond ``exact_up_to`` values get it from a second look at their middle only.
     """
     values = abundance.select(*SAMPLE, known(F.col("volume")).alias("_v"))
-    margin = 2.0 / accuracy
+    margin = 4.0 / accuracy
     points = f"array(0.5D, 0.5000001D, {0.5 - margin}D, {0.5 + margin}D)"
     groups = values.groupBy(*SAMPLE).agg(
         F.count("_v").alias("NAbun"),
@@ -75,13 +79,13 @@ def replicate_stats(
     groups = groups.select(
         "*", _middle(q).alias("_middle"), q[2].alias("_lo"), q[3].alias("_hi")
     ).drop("_q")
-    table, seen = settle_and_watch(groups, largest=F.max("NAbun"))
+    table, seen = settle_and_watch(groups, large=F.count_if(F.col("NAbun") > exact_up_to))
     middle = F.col("_middle")
-    if (seen["largest"] or 0) > exact_up_to:
+    if seen["large"]:
         large = table.where(F.col("NAbun") > exact_up_to).select(
             *SAMPLE, F.col("NAbun").alias("_n"), "_lo", "_hi"
         )
-        table = join_on(table, _exact_medians(values, large, SAMPLE), SAMPLE)
+        table = join_on(table, _exact_medians(values, large, SAMPLE, seen["large"] <= MAX_HEAVY), SAMPLE)
         middle = F.coalesce("_exact", middle)
     return table.select(*SAMPLE, "NAbun", F.bround(middle, 0).alias("MedAbun"), "MeanAbun", "StdAbun", "Count")
 

@@ -22,10 +22,16 @@ def write_table(
     fmt: str = "csv",
     null_text: str = "",
     mode: str = "errorifexists",
+    sort_by: list[str] | None = None,
 ) -> str:
-    """Write under ``root/kind``; NULL is ``null_text`` in CSV. Returns the folder."""
+    """Write under ``root/kind``; NULL is ``null_text`` in CSV. Returns the folder.
+
+    ``sort_by`` orders the rows inside each file, the only place where order matters.
+    """
     dated = df.withColumn("run_date", F.lit(run_date or datetime.date.today()))
     parts = ["run_date"] + [c for c in ("ExpID", "IonMode") if c in df.columns]
+    if sort_by:
+        dated = dated.sortWithinPartitions(*parts, *sort_by)
     writer = dated.write.mode(mode).partitionBy(*parts)
     path = f"{root}/{kind}"
     if fmt == "csv":
