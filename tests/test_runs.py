@@ -157,7 +157,10 @@ def test_files_to_charts(spark, tmp_path):
     )
     table = readers.read_lookup(spark, str(lookup))
     scores, charts = run.scored_and_charted(joined, table, params)
-    assert {r.DTXSID for r in scores.collect()} == {"D1", "D2"} and charts.count() == 0  # constant indicators: no score
+    # "NA@1" has no candidate: it stays in the table without a score.
+    assert {r.DTXSID for r in scores.collect()} == {"D1", "D2", None}
+    assert charts.count() == 4 * scores.where("ToxPiScore IS NOT NULL").count()
+    assert charts.where("page IS NULL").count() == 0
     path = writers.write_joined(joined, str(tmp_path / "out"))
     assert spark.read.csv(path, header=True).count() == joined.count()
     writers.write_compounds(compounds, str(tmp_path / "out"))
