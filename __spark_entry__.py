@@ -232,14 +232,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# The text operators are an extra that may be taken away with their folder and the pipeline file.
+try:
+    from ionsift.llm import registry as text_operators
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("ionsift.llm"):
+        raise
+    text_operators = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("ionsift.llm"):
+        raise
+    corpus_pipeline = None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the filtered feature table of the whole processing run."""
     return QUERIES["filtered_features"](spark, SMOKE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    found = dict(QUERIES)
+    if text_operators:
+        found.update(text_operators.QUERIES)
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle()
+    found = oracle.oracle()
+    if text_operators:
+        found.update(text_operators.SQL)
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
