@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ionsift.llm import byte_bpe, minhash, packing, url_filter, warc
+from ionsift.llm import byte_bpe, minhash, packing, suffix_dedup, url_filter, warc
 
 QUERIES = {
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_packing": packing.op4_packing,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_warc": warc.op6_warc,
     "op7_url_filters": url_filter.op7_url_filters,
     "op9_minhash_dedup": minhash.op9_minhash_dedup,
