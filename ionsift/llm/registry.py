@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from ionsift.llm import byte_bpe, minhash, packing, suffix_dedup, url_filter, warc
+from ionsift.llm import byte_bpe, minhash, packing, quality, suffix_dedup, syncmers, url_filter, warc
 
 QUERIES = {
+    "op1_document_fingerprints": syncmers.op1_document_fingerprints,
+    "op2_quality_rules": quality.op2_quality_rules,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_packing": packing.op4_packing,
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
