@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ionsift.llm import byte_bpe, minhash, packing, quality, suffix_dedup, syncmers, url_filter, warc
+from ionsift.llm import byte_bpe, minhash, packing, quality, suffix_dedup, syncmers, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_document_fingerprints": syncmers.op1_document_fingerprints,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_warc": warc.op6_warc,
     "op7_url_filters": url_filter.op7_url_filters,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_minhash_dedup": minhash.op9_minhash_dedup,
 }
 
