@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ionsift.llm import byte_bpe, minhash, packing, quality, suffix_dedup, syncmers, toxicity, url_filter, warc
+from ionsift.llm import byte_bpe, line_dedup, minhash, packing, quality, suffix_dedup, syncmers, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_document_fingerprints": syncmers.op1_document_fingerprints,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_url_filters": url_filter.op7_url_filters,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_minhash_dedup": minhash.op9_minhash_dedup,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 SQL = {
