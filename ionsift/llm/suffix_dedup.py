@@ -133,7 +133,7 @@ def _anchor_work(width: int, seed: int):
                     pa.array(np.concatenate([doc[~repeat], docs[r]])),
                     pa.array(np.concatenate([place[~repeat], (s << _POSITION) | (salt[r] << _TEXT)])),
                 ],
-                names=["name", "whole", "doc_id", "place"],
+                names=["name", "whole", "id", "place"],
             )
 
     return work
@@ -166,7 +166,7 @@ def _blocks(data, start, anchor, size, block: int, width: int):
     return run, first, last - first + 1, core, whole
 
 
-_BLOCK_FIELDS = ["name", "whole", "doc_id", "place", "bytes"]
+_BLOCK_FIELDS = ["name", "whole", "id", "place", "bytes"]
 
 
 def _block_work(width: int, block: int):
@@ -283,7 +283,7 @@ def _cut_work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _ranked(rows: DataFrame) -> DataFrame:
     """Whether an equal row stands earlier, and whether rows of the name differ; one shuffle by name."""
     dealt = rows.repartition(F.col("name"))
-    equal = Window.partitionBy("name", "whole").orderBy("doc_id", "place")
+    equal = Window.partitionBy("name", "whole").orderBy("id", "place")
     named = Window.partitionBy("name")
     return dealt.withColumn("later", F.rank().over(equal) > 1).withColumn(
         "mixed", F.min("whole").over(named) < F.max("whole").over(named)
@@ -294,12 +294,17 @@ def _salt(places: str) -> Column:
     return F.shiftright(places, _TEXT).bitwiseAND(0xFFFF)
 
 
-def _stretches(rows: DataFrame, width: int) -> DataFrame:
-    """Bytes covered by the strings of the rows' positions."""
+def _stretches(rows: DataFrame, width: int, length: Column | None = None) -> DataFrame:
+    """Bytes covered by the strings of the rows' positions.
+
+    ``length`` is that of the rows' own bytes, for rows that have them: both readers of the blocks then need the
+    same columns and share one shuffle.
+    """
     start = F.shiftright("place", _POSITION)
     size = F.col("place").bitwiseAND(127)
     end = F.when(size == 0, start + F.col("whole")).otherwise(start + size + (width - 1))
-    return rows.select("doc_id", _salt("place").alias("salt"), start.alias("start"), end.alias("end"))
+    end = end if length is None else start + length
+    return rows.select("id", _salt("place").alias("salt"), start.alias("start"), end.alias("end"))
 
 
 def repeated_passages(
@@ -318,44 +323,49 @@ def repeated_passages(
     """
     if width > 127 or width < SEED + BLOCK:
         raise ValueError(f"width must be between {SEED + BLOCK} and 127")
+    # Under another name, so that the optimizer leaves both copies of the shared shuffle alike.
     plain = common.texts(docs, id_col, text_col).select(
-        "doc_id", F.xxhash64("text").bitwiseAND(0xFFFF).alias("salt"), "text"
+        F.col("doc_id").alias("id"), F.xxhash64("text").bitwiseAND(0xFFFF).alias("salt"), "text"
     )
-    runs = plain.where("doc_id IS NOT NULL").mapInArrow(
-        _anchor_work(width, SEED), "name long, whole long, doc_id long, place long"
+    with_id = plain.where("id IS NOT NULL")
+    runs = with_id.mapInArrow(
+        _anchor_work(width, SEED), "name long, whole long, id long, place long"
     )
     known = F.col("place").bitwiseAND(127) == 0
     ranked = settle(
         _ranked(runs)
         .where(F.col("later") | F.col("mixed") | known)
-        .select("doc_id", "place", F.when(known, F.col("whole")).alias("whole"), (F.col("later") | known).alias("repeat"))
+        .select("id", "place", F.when(known, F.col("whole")).alias("whole"), (F.col("later") | known).alias("repeat"))
     )
     open_ = (
         ranked.where("NOT repeat")
         .distinct()
-        .groupBy("doc_id", _salt("place").alias("salt"))
+        .groupBy("id", _salt("place").alias("salt"))
         .agg(F.collect_list("place").alias("places"))
     )
+    # From here on one job: the shuffle of the texts serves both joins, that of the blocks both readers.
     blocks = (
-        plain.join(open_.hint("shuffle_hash"), ["doc_id", "salt"])
-        .select("doc_id", "text", "places")
-        .mapInArrow(_block_work(width, BLOCK), "name long, whole long, doc_id long, place long, bytes binary")
+        with_id.join(open_.hint("shuffle_hash"), ["id", "salt"])
+        .select("id", "text", "places")
+        .mapInArrow(_block_work(width, BLOCK), "name long, whole long, id long, place long, bytes binary")
     )
     blocks = _ranked(blocks)
     singles = (
         blocks.where("NOT later AND mixed")
-        .select("doc_id", "place", "bytes")
-        .mapInArrow(_single_work(width), "name long, whole long, doc_id long, place long")
+        .select("id", "place", "bytes")
+        .mapInArrow(_single_work(width), "name long, whole long, id long, place long")
     )
-    single = Window.partitionBy("name", "whole").orderBy("doc_id", "place")
+    single = Window.partitionBy("name", "whole").orderBy("id", "place")
     singles = singles.repartition(F.col("name")).withColumn("later", F.rank().over(single) > 1)
     stretches = (
         _stretches(ranked.where("repeat"), width)
-        .unionByName(_stretches(blocks.where("later"), width))
+        .unionByName(_stretches(blocks.where("later"), width, F.octet_length("bytes")))
         .unionByName(_stretches(singles.where("later"), width))
     )
-    per_text = stretches.groupBy("doc_id", "salt").agg(F.collect_list(F.struct("start", "end")).alias("stretches"))
-    cut = plain.join(per_text.hint("shuffle_hash"), ["doc_id", "salt"], "left").select("doc_id", "text", "stretches")
+    per_text = stretches.groupBy("id", "salt").agg(F.collect_list(F.struct("start", "end")).alias("stretches"))
+    cut = with_id.join(per_text.hint("shuffle_hash"), ["id", "salt"], "left").select("id", "text", "stretches")
+    whole = plain.where("id IS NULL").withColumn("stretches", F.lit(None).cast(cut.schema["stretches"].dataType))
+    cut = cut.unionByName(whole.drop("salt"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return cut.mapInArrow(_cut_work, schema)
 
