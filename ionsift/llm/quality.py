@@ -98,10 +98,13 @@ def _marked(tagged: Column) -> Column:
     return F.array_sort(F.transform(twice, lambda x: x["i"]))
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def statistics(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False
+) -> DataFrame:
     """``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``n_lines``.
 
-    One row per input row; a NULL text has no word. ``n_lines`` counts lines with a word.
+    One row per input row; a NULL text has no word. ``n_lines`` counts lines with a word. With ``carry`` the text
+    and the ``rest`` of the row go along.
     """
     text = F.col("text")
     lines = let(
@@ -114,8 +117,9 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             F.size(w).alias("n"), F.char_length(F.array_join(w, "")).alias("chars"), repeat_words(w).alias("repeat")
         ),
     )
-    held = common.texts(docs, id_col, text_col).select(
-        "doc_id", of_words.alias("w"), lines.alias("l"), F.regexp_count(text, F.lit(SYMBOLS)).alias("symbols")
+    along = ["text", "rest"] if carry else []
+    held = common.texts(docs, id_col, text_col, carry).select(
+        "doc_id", *along, of_words.alias("w"), lines.alias("l"), F.regexp_count(text, F.lit(SYMBOLS)).alias("symbols")
     )
     return held.select(
         "doc_id",
@@ -125,6 +129,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col("l.dup").cast("long").alias("n_dup_lines"),
         F.col("w.repeat").cast("long").alias("n_repeat_words"),
         F.col("l.n").cast("long").alias("n_lines"),
+        *along,
     )
 
 
@@ -233,23 +238,29 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def judged(
-    docs: DataFrame, labels: DataFrame, model: Learning = Learning(), id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    model: Learning = Learning(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
     """Statistics of every row with ``base_failed`` and ``kept``.
 
     ``labels`` has ``doc_id`` and ``quality`` (1 good, 0 bad); NULLs say nothing, and a document
     labelled more than once is bad if any label says so. The list is learned from the labelled rows that pass the
     base rules, since only those ask for a verdict. Texts are read once: the statistics are written and learned from
-    and judged as a narrow table. Rows with a NULL text have no word and fail; repeated rows are judged each; an
+    and judged as a narrow table (with ``carry`` beside the whole rows, so nothing is joined back). Rows with a NULL text have no word and fail; repeated rows are judged each; an
     empty table gives no row; other columns are ignored.
     """
-    table = settle(statistics(docs, id_col, text_col))
+    table = settle(statistics(docs, id_col, text_col, carry))
     known = (
         labels.where("quality IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max(F.when(F.col("quality") == 0, 1).otherwise(0)).alias("bad"))
     )
-    rules = learn(table.where(f"NOT {BASE_FAILED}").join(known, "doc_id"), model)
+    narrow = table.drop("text", "rest").where(f"NOT {BASE_FAILED}")
+    rules = learn(narrow.join(known, "doc_id"), model)
     failed = F.expr(BASE_FAILED)
     return table.select("*", failed.alias("base_failed"), (~failed & verdict(rules)).alias("kept"))
 

@@ -241,43 +241,46 @@ def _single_work(width: int):
     return work
 
 
-def _cut_work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_work(keep: str):
     """Texts with their repeated stretches to what is left."""
-    for batch in batches:
-        sizes, removed, spans, digests, kept_bytes = [], [], [], [], []
-        for text, stretches in zip(batch.column(1), batch.column(2)):
-            data = text.as_buffer().to_pybytes()
-            parts, at, n = [], 0, 0
-            if stretches.is_valid:
-                start, end = (stretches.values.field(i).to_numpy() for i in (0, 1))
-                order = np.argsort(start, kind="stable")
-                start, end = start[order], np.maximum.accumulate(end[order])
-                new = np.ones(len(start), bool)
-                new[1:] = start[1:] > end[:-1]
-                first = np.flatnonzero(new)
-                last = np.append(first[1:], len(start)) - 1
-                n = len(first)
-                for s, e in zip(start[first].tolist(), end[last].tolist()):
-                    parts.append(data[at:s])
-                    at = e
-            parts.append(data[at:])
-            left = b"".join(parts)
-            sizes.append(len(data))
-            removed.append(len(data) - len(left))
-            spans.append(n)
-            digests.append(hashlib.sha256(left).hexdigest())
-            kept_bytes.append(left)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array(sizes, pa.int64()),
-                pa.array(removed, pa.int64()),
-                pa.array(spans, pa.int64()),
-                pa.array(digests, pa.string()),
-                pa.array(kept_bytes, pa.binary()),
-            ],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-        )
+
+    def left_of(text: pa.Scalar, stretches: pa.Scalar) -> tuple[int, int, bytes]:
+        data = text.as_buffer().to_pybytes()
+        parts, at, n = [], 0, 0
+        if stretches.is_valid:
+            start, end = (stretches.values.field(i).to_numpy() for i in (0, 1))
+            order = np.argsort(start, kind="stable")
+            start, end = start[order], np.maximum.accumulate(end[order])
+            new = np.ones(len(start), bool)
+            new[1:] = start[1:] > end[:-1]
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(start)) - 1
+            n = len(first)
+            for s, e in zip(start[first].tolist(), end[last].tolist()):
+                parts.append(data[at:s])
+                at = e
+        parts.append(data[at:])
+        return len(data), n, b"".join(parts)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [left_of(*row) for row in zip(batch.column(1), batch.column(2))]
+            out = {
+                "doc_id": batch.column(0),
+                "n_bytes": pa.array([n for n, _, _ in rows], pa.int64()),
+                "n_removed": pa.array([n - len(left) for n, _, left in rows], pa.int64()),
+                "n_spans": pa.array([n for _, n, _ in rows], pa.int64()),
+                "kept_sha256": pa.array([hashlib.sha256(left).hexdigest() for _, _, left in rows], pa.string()),
+            }
+            if keep == "bytes":
+                out["kept"] = pa.array([left for _, _, left in rows], pa.binary())
+            elif keep == "text":
+                out["kept"] = pa.array([left.decode("utf-8", "ignore") for _, _, left in rows], pa.string())
+            if batch.num_columns > 3:
+                out["rest"] = batch.column(3)
+            yield pa.RecordBatch.from_pydict(out)
+
+    return work
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
@@ -308,9 +311,17 @@ def _stretches(rows: DataFrame, width: int, length: Column | None = None) -> Dat
 
 
 def repeated_passages(
-    docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    width: int = WIDTH,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: str = "bytes",
+    carry: bool = False,
 ) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``kept`` (bytes): one row per input row.
+    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``kept``: one row per input row.
+
+    ``keep`` gives what is left as "bytes", as "text" (without the bytes of a character that was cut in part) or
+    not at all ("none"). With ``carry`` the ``rest`` of the row goes along.
 
     A byte is removed if a string of ``width`` bytes (UTF-8) that covers it also starts earlier: in a row with a
     smaller doc_id, or earlier in the same text. Matches never cross texts, overlaps count, and
@@ -324,11 +335,12 @@ def repeated_passages(
     if width > 127 or width < SEED + BLOCK:
         raise ValueError(f"width must be between {SEED + BLOCK} and 127")
     # Under another name, so that the optimizer leaves both copies of the shared shuffle alike.
-    plain = common.texts(docs, id_col, text_col).select(
-        F.col("doc_id").alias("id"), F.xxhash64("text").bitwiseAND(0xFFFF).alias("salt"), "text"
+    along = ["rest"] if carry else []
+    plain = common.texts(docs, id_col, text_col, carry).select(
+        F.col("doc_id").alias("id"), F.xxhash64("text").bitwiseAND(0xFFFF).alias("salt"), "text", *along
     )
     with_id = plain.where("id IS NOT NULL")
-    runs = with_id.mapInArrow(
+    runs = with_id.select("id", "salt", "text").mapInArrow(
         _anchor_work(width, SEED), "name long, whole long, id long, place long"
     )
     known = F.col("place").bitwiseAND(127) == 0
@@ -346,7 +358,7 @@ def repeated_passages(
     # From here on one job: the shuffle of the texts serves both joins, that of the blocks both readers.
     blocks = (
         with_id.join(open_.hint("shuffle_hash"), ["id", "salt"])
-        .select("id", "text", "places")
+        .select("id", "text", "places", *along)
         .mapInArrow(_block_work(width, BLOCK), "name long, whole long, id long, place long, bytes binary")
     )
     blocks = _ranked(blocks)
@@ -363,12 +375,14 @@ def repeated_passages(
         .unionByName(_stretches(singles.where("later"), width))
     )
     per_text = stretches.groupBy("id", "salt").agg(F.collect_list(F.struct("start", "end")).alias("stretches"))
-    cut = with_id.join(per_text.hint("shuffle_hash"), ["id", "salt"], "left").select("id", "text", "stretches")
+    wanted = ["id", "text", "stretches", *along]
+    cut = with_id.join(per_text.hint("shuffle_hash"), ["id", "salt"], "left").select(*wanted)
     whole = plain.where("id IS NULL").withColumn("stretches", F.lit(None).cast(cut.schema["stretches"].dataType))
-    cut = cut.unionByName(whole.drop("salt"))
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return cut.mapInArrow(_cut_work, schema)
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema += {"bytes": ", kept binary", "text": ", kept string", "none": ""}[keep]
+    schema += f", rest {plain.schema['rest'].dataType.simpleString()}" if carry else ""
+    return cut.unionByName(whole.select(*wanted)).mapInArrow(_cut_work(keep), schema)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(common.read_table(spark, sf_dir, "documents")).drop("kept")
+    return repeated_passages(common.read_table(spark, sf_dir, "documents"), keep="none")
