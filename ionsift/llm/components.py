@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ionsift.session import settle, settle_and_watch
 
-# Pairs that one round of ``linked`` may list, for each row of its members.
-PAIRS_PER_MEMBER = 4
+# Comparisons of marks in one block of ``linked``, for each row of its members.
+PAIRS_PER_MEMBER = 64
 
 
 def attach(df: DataFrame, key: str, **aggregates) -> DataFrame:
@@ -65,23 +65,30 @@ def shared_keys(members: DataFrame) -> DataFrame:
     return settle(members.select("key", "node").join(keys, "key"))
 
 
-def linked(shared: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(
+    shared: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    marks: DataFrame,
+    alike: Callable[[Column, Column], Column],
+) -> DataFrame:
     """``node`` and ``component`` under the links that ``verify`` confirms among nodes sharing a key.
 
-    ``shared`` comes from ``shared_keys``. ``verify`` takes distinct pairs (``a`` < ``b``) and
-    returns those that are links. A group is not expanded into its pairs: first each node is
-    compared with the smallest centre of its keys, which joins the groups of copies. Only keys
-    whose nodes still lie in several components go on, and of them only pairs across components; they
-    are listed in as many blocks as keep a block's pairs linear in the members. No pair that could
-    join two components is left out, so the components are those of all links.
+    ``shared`` comes from ``shared_keys``. ``verify`` takes distinct pairs (``a``, ``b``) and returns those that are
+    links. ``marks`` has a ``mark`` of every ``node``; pairs whose marks are not ``alike`` are no links.
+
+    A group is not expanded into its pairs: first each node is compared with the smallest centre of its keys, which
+    joins the groups of copies. Only keys whose nodes still lie in several components go on, and of
+    them only pairs across components with marks alike, each under the first key it shares; they
+    are listed in as many blocks as keep a block's comparisons linear in the members. No pair
+    that could join two components is left out, so the components are those of all links.
     """
     best = shared.where("node <> centre").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a"))
     links = settle(verify(best.select("a", "b")).select("a", "b"))
     found = settle(components(links))
-    rest, block, blocks, limit = shared.select("key", "node"), 0, 1, None
+    rest, block, blocks = shared.select("key", "node"), 0, 1
     while block < blocks:
-        node = F.coalesce("component", "node").alias("component")
-        placed = settle(rest.join(found, "node", "left").select("key", "node", node))
+        own = F.coalesce("component", "node").alias("component")
+        placed = settle(rest.join(found, "node", "left").select("key", "node", own))
         spans = placed.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
         )
@@ -91,17 +98,23 @@ def linked(shared: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataF
             break
         placed = settle(placed.join(apart.select("key"), "key"))
         rest = placed.select("key", "node")
-        limit = limit or max(PAIRS_PER_MEMBER * seen["members"], 100_000)
-        blocks = max(blocks, -(-int(seen["pairs"]) // limit)) if block == 0 else blocks
-        one = placed.select("key", F.col("node").alias("a"), F.col("component").alias("of_a"))
-        other = placed.select("key", F.col("node").alias("b"), F.col("component").alias("of_b"))
+        if block == 0:
+            blocks = max(1, -(-int(seen["pairs"]) // max(PAIRS_PER_MEMBER * seen["members"], 1_000_000)))
+        # A node has boundedly many keys.
+        of_node = placed.groupBy("node").agg(F.first("component").alias("component"), F.collect_list("key").alias("keys"))
+        marked = settle(of_node.join(marks, "node")).withColumn("key", F.explode("keys"))
+        one = marked.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "keys", "mark")])
+        other = marked.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "keys", "mark")])
         if blocks > 1:
-            one = one.where(F.pmod(F.xxhash64("a"), F.lit(blocks)) == block)
-        pairs = one.join(other, "key").where("a <> b AND of_a <> of_b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = settle(verify(pairs).select("a", "b"))
+            one = one.where(F.pmod(F.xxhash64("node_a"), F.lit(blocks)) == block)
+        first_key = F.array_min(F.array_intersect("keys_a", "keys_b")) == one["key"]
+        may = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+        pairs = one.join(
+            other, (one["key"] == other["key"]) & may & alike(F.col("mark_a"), F.col("mark_b")) & first_key
+        ).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        more, seen = settle_and_watch(verify(pairs).select("a", "b"))
         links = links.unionByName(more)
         block += 1
-        if block < blocks or more.first() is not None:
+        if seen["rows"]:
             found = settle(components(links))
     return found

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ionsift.llm import common
-from ionsift.llm.components import components, linked, shared_keys
+from ionsift.llm.components import attach, components, linked, shared_keys
 from ionsift.llm.hashing import mix, shingle_sets, slices, word_hashes
 from ionsift.session import settle, settle_and_watch
 
 BINS = 128
 ROWS = 4  # coordinates of a band: 32 bands find a pair of similarity 0.75 but for 5 in a million
+MARK = 512  # coordinates of the finer sketch of candidates, four bits of each
 SLICE = 1 << 21  # bytes of text hashed at a time
-CACHED_SETS = 128  # sets of group centres kept by a verifying task
 _U = np.uint64
 _EMPTY = _U(2**64 - 1)
 _FRACTION = 55
@@ -96,30 +97,80 @@ def sketch_documents(docs: DataFrame, bins: int = BINS, rows: int = ROWS, width:
     return docs.mapInArrow(_sketch_work(bins, rows, width), schema)
 
 
-def _set_of(text: bytes, width: int) -> np.ndarray:
-    data = np.frombuffer(text, np.uint8)
-    return shingle_sets(*word_hashes(data, np.array([0, len(data)])), width)[0]
+def marks(sets: list[np.ndarray], bins: int = MARK) -> np.ndarray:
+    """Four bits of each coordinate of a finer sketch, 16 to a 64-bit number."""
+    nibbles = sketches(sets, bins) & _U(15)
+    shifts = np.arange(16, dtype=_U) * _U(4)
+    return (nibbles.reshape(len(sets), bins // 16, 16) << shifts).sum(axis=2, dtype=_U)
+
+
+def alike(one: Column, other: Column, percent: int, bins: int = MARK) -> Column:
+    """Whether the marks agree in as many coordinates as those of a link do, less 4.5 standard deviations.
+
+    So it misses 3 of a million links at the very bound, and fewer above it.
+    """
+    p = percent / 100 + (1 - percent / 100) / 16
+    least = math.floor(bins * p - 4.5 * math.sqrt(bins * p * (1 - p)))
+    differing = None
+    for i in range(bins // 16):
+        z = one[i].bitwiseXOR(other[i])
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(0x1111111111111111)
+        count = F.bit_count(z)
+        differing = count if differing is None else differing + count
+    return differing <= bins - least
+
+
+def _mark_work(width: int):
+    """Texts of candidates with the digest of their set, which is their node, and their marks."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in slices(batch.column(0), SLICE):
+                sets = shingle_sets(*word_hashes(data, offsets), width)
+                nodes = np.array([mix(s, 23).sum(dtype=_U) for s in sets], _U).view(np.int64)
+                packed = marks(sets).view(np.int64)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(packed.reshape(-1)), packed.shape[1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes), batch.column(0).slice(first, end - first), lists.cast(pa.list_(pa.int64()))],
+                    names=["node", "text", "mark"],
+                )
+
+    return work
+
+
+class _Sets:
+    """Shingle sets of texts, the latest kept up to a number of bytes."""
+
+    HELD = 64 << 20
+
+    def __init__(self, width: int):
+        self.width, self.known, self.size = width, {}, 0
+
+    def of(self, node: int, text: pa.Scalar) -> np.ndarray:
+        found = self.known.get(node)
+        if found is None:
+            data = np.frombuffer(text.as_buffer(), np.uint8)
+            found = shingle_sets(*word_hashes(data, np.array([0, len(data)])), self.width)[0]
+            if self.size + found.nbytes > self.HELD:
+                self.known, self.size = {}, 0
+            self.known[node] = found
+            self.size += found.nbytes
+        return found
 
 
 def _confirm(percent: int, width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres: dict[bytes, np.ndarray] = {}
+        sets = _Sets(width)
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            # One pair at a time: two texts are held, never a group. Centres meet many partners.
-            for at, (one, other) in enumerate(zip(batch.column(2), batch.column(3))):
-                one, other = one.as_buffer().to_pybytes(), other.as_buffer().to_pybytes()
-                first = centres.get(one)
-                if first is None:
-                    first = _set_of(one, width)
-                    if len(centres) >= CACHED_SETS:
-                        centres.clear()
-                    if len(one) <= 1 << 16:
-                        centres[one] = first
-                second = _set_of(other, width)
-                both = len(np.intersect1d(first, second, assume_unique=True))
-                union = len(first) + len(second) - both
-                keep[at] = union > 0 and 100 * both >= percent * union
+            nodes = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for at, ((a, b), one, other) in enumerate(zip(nodes, batch.column(2), batch.column(3))):
+                small, large = sorted((sets.of(a, one), sets.of(b, other)), key=len)
+                if len(small) and 100 * len(small) >= percent * len(large):
+                    places = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                    both = int((large[places] == small).sum())
+                    keep[at] = 100 * both >= percent * (len(small) + len(large) - both)
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"]
@@ -142,8 +193,8 @@ def near_duplicates(
     Documents whose shingle sets have ``100 * intersection >= percent * union`` are linked;
     ``component_id`` is the smallest doc_id reachable. Equal sets are one node before anything is
     compared, so a group of copies of any size costs its rows. Nodes that share a band key are
-    candidates; ``linked`` compares them with group centres first and lists pairs only across what is still apart,
-    and every link is confirmed on the full sets of both texts.
+    candidates; ``linked`` compares them with group centres first and lists pairs only across what
+    is still apart, if a finer sketch does not rule them out. Every link is confirmed on the full sets of both texts.
 
     A NULL or empty text has no shingle and is linked with nothing; rows of one doc_id are one
     document; a row without doc_id is linked with nothing, has no component and is kept; an
@@ -152,13 +203,14 @@ def near_duplicates(
     plain = common.texts(docs, id_col, text_col)
     table = settle(sketch_documents(plain, bins, rows, width))
     known = table.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    sets = settle(
-        known.groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
-    )
-    shared = shared_keys(sets.select("node", F.explode("bands").alias("key")))
-    wanted = shared.select("node").distinct().hint("shuffle_hash")
+    # The digest names the set: 64 of its 128 bits are the node, the others tell apart what shares them.
+    sets = settle(known.groupBy("low", "high").agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands")))
+    shared = shared_keys(sets.select(F.col("low").alias("node"), F.explode("bands").alias("key")))
+    wanted = shared.select(F.col("node").alias("low")).distinct().join(sets.select("low", "doc"), "low")
+    wanted = wanted.select(F.col("doc").alias("wanted")).distinct().hint("shuffle_hash")
     # The texts of candidates only, read by every round of verification.
-    held = settle(plain.join(wanted, plain["doc_id"] == wanted["node"]).select("node", "text"))
+    texts = plain.join(wanted, plain["doc_id"] == wanted["wanted"]).select("text")
+    held = settle(texts.mapInArrow(_mark_work(width), "node long, text string, mark array<long>"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         one = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -166,19 +218,18 @@ def near_duplicates(
         full = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
         return full.mapInArrow(_confirm(percent, width), "a long, b long")
 
-    found = linked(shared, verify)
-    node = sets.select("low", "high", "n_shingles", "node")
-    placed = known.select("doc_id", "low", "high", "n_shingles").join(node, ["low", "high", "n_shingles"])
-    placed = placed.join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
-    spans = placed.groupBy("doc_id").agg(F.min("component").alias("component"), F.max("component").alias("_high"))
-    per_doc, seen = settle_and_watch(spans, apart=F.count(F.when(F.col("component") < F.col("_high"), 1)))
+    mark = held.select("node", "mark").dropDuplicates(["node"])
+    found = linked(shared, verify, mark, lambda a, b: alike(a, b, percent))
+    placed = known.select("doc_id", F.col("low").alias("node")).join(found, "node", "left")
+    placed = settle(placed.select("doc_id", F.coalesce("component", "node").alias("component")))
+    labelled = attach(placed, "component", label=F.min("doc_id"))
+    spans = labelled.groupBy("doc_id").agg(F.min("label").alias("component_id"), F.max("label").alias("_high"))
+    per_doc, seen = settle_and_watch(spans, apart=F.count(F.when(F.col("component_id") < F.col("_high"), 1)))
     per_doc = per_doc.drop("_high")
     if seen["apart"]:  # a doc_id whose rows lie in several components joins them
-        joined = components(settle(placed).select(F.col("doc_id").alias("a"), F.col("component").alias("b")))
-        per_doc = joined.withColumnRenamed("node", "doc_id").unionByName(
-            per_doc.join(joined, per_doc["doc_id"] == joined["node"], "left_anti")
-        )
-    per_doc = per_doc.withColumnRenamed("component", "component_id")
+        edges = labelled.select(F.col("doc_id").alias("a"), F.col("label").alias("b"))
+        joined = settle(components(edges)).withColumnsRenamed({"node": "doc_id", "component": "component_id"})
+        per_doc = joined.unionByName(per_doc.join(joined.select("doc_id"), "doc_id", "left_anti"))
     return table.select("doc_id", "n_shingles").join(per_doc, "doc_id", "left").select(
         "doc_id",
         "n_shingles",
