@@ -20,7 +20,7 @@ from ionsift.operators.blanks import (  # noqa: E402
     blank_subtract, present_in_samples, replicate_long, spike_flag,
 )
 from ionsift.operators.compounds import unique_compounds  # noqa: E402
-from ionsift.operators.ingest import feature_number, score_extract  # noqa: E402
+from ionsift.operators.ingest import feature_number, prepare, score_extract  # noqa: E402
 from ionsift.operators.replicates import replicate_stats, replicate_summary, sample_counts  # noqa: E402
 from ionsift.params import FEATURE, Params  # noqa: E402
 from ionsift.plans.process import Processed, process, flag_columns  # noqa: E402
@@ -47,8 +47,8 @@ def _blanked(spark: SparkSession, d: str) -> DataFrame:
     return blank_subtract(_summary(spark, d), PARAMS)
 
 
-def _processed(spark: SparkSession, d: str, params: Params = PARAMS) -> Processed:
-    return process(_features(spark, d), _abundance(spark, d), params, SAMPLES)
+def _processed(spark: SparkSession, d: str, params: Params = PARAMS, samples: list[str] = SAMPLES) -> Processed:
+    return process(_features(spark, d), _abundance(spark, d), params, samples)
 
 
 def _both_modes(spark: SparkSession, d: str, measures: bool = True) -> DataFrame:
@@ -154,6 +154,15 @@ def _geometry(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _chart_table(spark: SparkSession, d: str) -> DataFrame:
+    rows = chart.score_chart_table(settle(_priority(spark, d)), PARAMS)
+    return _rounded(rows, "height", "ToxPi").select(
+        "ExpID", "IonMode", "Chemical", "Mass", "DTXSID", "sub_Pi", "height", "weight", "w", "wm", "wt", "ToxPi", "page"
+    )
+
+
+EARLY = Params(prefilter=True)
+INJECTIONS = Params(collapse_reps=False)
 PLACE = ["ExpID", "IonMode", "Compound", "Mass", "RetentionTime"]
 CANDIDATE = [
     "Preferred_Name", "DTXSID", "Category", "Compound_Classification", "ExposureCategory", "Tox21_Activities",
@@ -194,6 +203,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wide_pivot": lambda s, d: wide.wide_measures(_blanked(s, d), SAMPLES),
     "filtered_features": lambda s, d: _processed(s, d).filtered(PARAMS),
     "filtered_long": lambda s, d: _processed(s, d).filtered(Params(output_wide=False)),
+    "prefiltered_features": lambda s, d: _processed(s, d, EARLY).filtered(EARLY),
+    "replicate_wide": lambda s, d: _processed(s, d, INJECTIONS, oracle.REP_SAMPLES).wide,
+    "prepare": lambda s, d: prepare(fx.fixture(s, d, fx.EXPORT), PARAMS).long(),
+    "score_chart_table": _chart_table,
     "unique_compounds": lambda s, d: unique_compounds(_features(s, d)),
     "mode_pairs": lambda s, d: modes.mode_pairs(_both_modes(s, d, measures=False)),
     "cross_mode_match": lambda s, d: modes.cross_mode_match(_both_modes(s, d, measures=False), PARAMS),

@@ -26,7 +26,8 @@ ABUNDANCE = f"""
 SELECT l_partkey AS FeatureNumber, {_dataset("l_partkey")}, 'MS1' AS ModeDetail,
        CASE WHEN l_returnflag = 'N' THEN 'Blank' ELSE concat(l_returnflag, l_linestatus) END AS SampleDetail,
        CAST(l_linenumber AS STRING) AS Rep,
-       CASE WHEN l_discount = 0 THEN NULL ELSE l_quantity * (1 + l_partkey % 4) END AS volume
+       CASE WHEN l_discount = 0 THEN NULL WHEN l_partkey % 23 = 5 THEN l_quantity / 1000.0E0
+            ELSE l_quantity * (1 + l_partkey % 4) END AS volume
 FROM {{lineitem}}
 """
 
@@ -63,7 +64,8 @@ SELECT FeatureNumber, ExpID, 'Negative' AS IonMode, Mass + (FeatureNumber % 5) *
 FROM ({FEATURES}) f
 """
 
-# Lookup result: one candidate per feature, so a compound has as many as features share its name.
+# Lookup result: one candidate per feature, so a compound has as many as features share its name; every
+# seventh run of features was not found.
 LOOKUP = f"""
 SELECT f.Compound AS INPUT, concat(p.p_type, ' ', p.p_brand) AS Preferred_Name,
        concat('DTXSID', CAST(p.p_partkey AS STRING)) AS DTXSID,
@@ -72,6 +74,7 @@ SELECT f.Compound AS INPUT, concat(p.p_type, ' ', p.p_brand) AS Preferred_Name,
        CASE WHEN p.p_partkey % 9 = 0 THEN NULL ELSE p.p_size / 1.0E6 * (1 + p.p_partkey % 1000) END
          AS EXPOCAST_MEDIAN_EXPOSURE_PREDICTION_MG_KG_BW_DAY
 FROM {{part}} p JOIN ({FEATURES}) f ON f.FeatureNumber = p.p_partkey
+WHERE {_RUN.format(k="p.p_partkey")} % 84 <> 0
 """
 
 # A wide export: one row per order line with five sample columns.
@@ -86,6 +89,23 @@ WIDE = "SELECT l_orderkey, l_linenumber, l_partkey, {} FROM {{lineitem}}".format
     ", ".join(f"{expr} AS {name}" for name, expr in WIDE_COLUMNS.items())
 )
 
+# A wide export of features, as text the way a file has it, with blanks and a missing value written as 1.
+EXPORT_COLUMNS = {
+    "E1_Positive_MS1_MB01_1": "1 + p_partkey % 3",
+    "E1_Positive_MS1_MB02_1": "p_size % 5",
+    "E1_Positive_MS1_S1_1": "1 + p_size % 40",
+    "E1_Positive_MS1_S1_2": "2 + p_partkey % 50",
+    "E1_Positive_MS1_S2_1": "1 + p_partkey % 7 * p_size",
+}
+EXPORT = f"""
+SELECT 'export' AS source, CAST(CASE WHEN FeatureNumber % 37 = 0 THEN NULL ELSE Mass END AS STRING) AS Mass,
+       CAST(RetentionTime AS STRING) AS `Retention Time`, Compound || ' Esi+ ' || CAST(FeatureNumber AS STRING) AS Compound,
+       CASE WHEN Score IS NULL THEN '[db, x]' ELSE concat('[db, overall=', CAST(Score AS STRING), ', x]') END AS Annotations,
+       CAST(Frequency AS STRING) AS Frequency,
+       {", ".join(f"CAST({expr} AS STRING) AS {name}" for name, expr in EXPORT_COLUMNS.items())}
+FROM ({FEATURES}) f JOIN {{part}} p ON p.p_partkey = f.FeatureNumber
+"""
+
 TABLES = ("part", "lineitem")
 
 

@@ -9,9 +9,9 @@ from ionsift.functions.text import named
 
 
 def unique_compounds(df: DataFrame) -> DataFrame:
-    """Distinct real names, cut before the first blank that is followed by a digit."""
+    """Distinct real names of each experiment, cut before the first blank that is followed by a digit."""
     return (
         df.where(named(F.col("Compound")))
-        .select(F.regexp_replace("Compound", r"(?s)\s[0-9].*", "").alias("Compound"))
+        .select("ExpID", F.regexp_replace("Compound", r"(?s)\s[0-9].*", "").alias("Compound"))
         .distinct()
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,9 +12,9 @@ from pyspark.sql import functions as F
 from ionsift.functions.text import annotation_score, before
 from ionsift.operators.quality import feature_table
 from ionsift.operators.skew import number_rows
-from ionsift.operators.wide import melt_measures, sample_columns
+from ionsift.operators.wide import SAMPLE_COLUMN, melt_measures, sample_columns
 from ionsift.params import CONTRACT, FEATURE, FEATURE_COLUMNS, Params
-from ionsift.sources.readers import numbers, read_tables
+from ionsift.sources.readers import numbers, read_header, read_tables
 
 ABUNDANCE_COLUMNS = FEATURE + ["ModeDetail", "SampleDetail", "Rep", "volume"]
 
@@ -64,15 +65,33 @@ def prepare(raw: DataFrame, params: Params = Params()) -> Prepared:
         F.col("Frequency").cast("long").alias("Frequency"),
         *[F.col(f"`{c}`") for c in samples],
     )
-    datasets = sorted({tuple(c.split("_")[:2]) for c in samples})
+    datasets = sorted(_datasets(samples))
     keys = F.array(*[F.struct(F.lit(e).alias("ExpID"), F.lit(m).alias("IonMode")) for e, m in datasets])
     features = clean.withColumn("_d", F.explode(keys)).select("*", "_d.*").select(*FEATURE_COLUMNS)
     long = melt_measures(clean.select("FeatureNumber", *[F.col(f"`{c}`") for c in samples]), params.blank_names, samples)
     return Prepared(features, long.select(*ABUNDANCE_COLUMNS))
 
 
+def _datasets(columns: list[str]) -> set[tuple[str, ...]]:
+    return {tuple(c.split("_")[:2]) for c in columns}
+
+
+def refuse_shared_datasets(headers: dict[str, list[str]]) -> None:
+    """Each file numbers its features from 1, so two files of one experiment and mode would mix."""
+    owner: dict[tuple[str, ...], str] = {}
+    for path, columns in headers.items():
+        for dataset in sorted(_datasets([c for c in columns if re.match(SAMPLE_COLUMN, c)])):
+            if dataset in owner:
+                raise ValueError(
+                    f"{owner[dataset]} and {path} both hold {'_'.join(dataset)}: process them in runs of their own "
+                    "or give them different experiment names"
+                )
+            owner[dataset] = path
+
+
 def prepare_files(spark, paths: list[str], params: Params = Params()) -> Prepared:
-    """All exports of a run, stacked; files with the same header share a scan."""
+    """All exports of a run, stacked. Every file must hold experiments and modes of its own."""
+    refuse_shared_datasets({p: read_header(spark, p) for p in paths})
     parts = [prepare(raw, params) for raw in read_tables(spark, paths)]
     stack = lambda frames: reduce(lambda a, b: a.unionByName(b), frames)
     return Prepared(stack([p.features for p in parts]), stack([p.abundance for p in parts]))

@@ -51,11 +51,20 @@ def _exact_medians(values: DataFrame, large: DataFrame, keys: list[str], few: bo
     return (
         reached.groupBy(*keys, "_n")
         .agg(((at(lower) + at(upper)) / 2).alias("_exact"), missed.alias("_missed"))
-        .withColumn("_exact", F.when(F.col("_missed"), F.raise_error(F.lit("median outside its bracket"))).otherwise(F.col("_exact")))
-        .select(*keys, "_exact")
     )
 
 
+def _all_medians(values: DataFrame, large: DataFrame, keys: list[str], few: bool) -> DataFrame:
+    """``_exact_medians``; a bracket that misses the middle is opened to the whole group and counted again."""
+    found, seen = settle_and_watch(_exact_medians(values, large, keys, few), missed=F.count_if("_missed"))
+    good = found.where("NOT _missed").select(*keys, "_exact")
+    if not seen["missed"]:
+        return good
+    ends = {"_lo": F.lit(float("-inf")), "_hi": F.lit(float("inf"))}
+    again = found.where("_missed").select(*keys, "_n").withColumns(ends)
+    return good.unionByName(_exact_medians(values, again, keys, few).select(*keys, "_exact"))
+
+
 def replicate_stats(
     abundance: DataFrame, accuracy: int = ACCURACY, exact_up_to: int = EXACT_UP_TO
 ) -> DataFrame:
@@ -85,7 +94,7 @@ def replicate_stats(
         large = table.where(F.col("NAbun") > exact_up_to).select(
             *SAMPLE, F.col("NAbun").alias("_n"), "_lo", "_hi"
         )
-        table = join_on(table, _exact_medians(values, large, SAMPLE, seen["large"] <= MAX_HEAVY), SAMPLE)
+        table = join_on(table, _all_medians(values, large, SAMPLE, seen["large"] <= MAX_HEAVY), SAMPLE)
         middle = F.coalesce("_exact", middle)
     return table.select(*SAMPLE, "NAbun", F.bround(middle, 0).alias("MedAbun"), "MeanAbun", "StdAbun", "Count")
 

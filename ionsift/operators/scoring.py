@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ionsift.functions.nulls import max_if_complete
+from ionsift.functions.nulls import max_if_complete, text_or_na
 from ionsift.functions.text import named
 from ionsift.operators.lookup import chem_classify, chem_lookup
 from ionsift.operators.skew import with_dataset, with_group
@@ -27,18 +27,16 @@ SCORE = "ToxPiScore"
 BEST, LESSER, UNSCORED = "α", "β", "γ"
 
 
-def _cells(df: DataFrame) -> list[Column]:
-    return [F.col(f"`{c}`") for c in columns_like(df, "subMed")]
-
-
-def _total(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, parts, F.lit(0))
+def _cells(df: DataFrame) -> Column:
+    """A row's cells as one array, so that expressions stay flat however many samples there are."""
+    cells = [F.col(f"`{c}`").cast("double") for c in columns_like(df, "subMed")]
+    return F.array(*cells) if cells else F.array().cast("array<double>")
 
 
 def sample_presence(joined: DataFrame, params: Params = Params()) -> DataFrame:
     """Named rows with the number of measured cells over all rows of the same name and mass."""
     rows = joined.where(named(F.col("Compound")))
-    present = rows.withColumn("_present", _total([F.when(c.isNotNull(), 1).otherwise(0) for c in _cells(rows)]))
+    present = rows.withColumn("_present", F.size(F.filter(_cells(rows), lambda c: c.isNotNull())))
     by = [c for c in ("IonMode", "RetentionTime", "Score") if c in rows.columns]
     return with_group(
         present, ["ExpID", "Compound", "Mass"], by, params.rows_per_task, SampleN=F.sum("_present")
@@ -47,12 +45,10 @@ def sample_presence(joined: DataFrame, params: Params = Params()) -> DataFrame:
 
 def avg_log_abundance(rows: DataFrame) -> DataFrame:
     """Mean log10 of a row's positive cells; rows without any are dropped, cells too."""
-    cells = _cells(rows)
-    logs = [F.when(c > 0, F.log10(c)) for c in cells]
-    n = _total([F.when(c > 0, 1).otherwise(0) for c in cells])
-    total = _total([F.coalesce(x, F.lit(0.0)) for x in logs])
+    logs = F.transform(F.filter(_cells(rows), lambda c: c > 0), lambda c: F.log10(c))
+    mean = F.aggregate(logs, F.lit(0.0), lambda a, x: a + x, lambda a: F.try_divide(a, F.size(logs)))
     return (
-        rows.withColumn("log10_avgAbun", F.try_divide(total, n))
+        rows.withColumn("log10_avgAbun", mean)
         .where(F.col("log10_avgAbun").isNotNull())
         .drop(*columns_like(rows, "subMed"))
     )
@@ -97,14 +93,14 @@ def best_candidate(rows: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def rank_letter(rows: DataFrame, params: Params = Params()) -> DataFrame:
-    """Best, lesser or unscored within the compound, appended to the classification."""
+    """Best, lesser or unscored within the compound, appended to the classification (``NA`` without one)."""
     best = with_group(
         rows, ["ExpID", "Compound"], ["IonMode", "Mass", "DTXSID"], params.rows_per_task, _best=F.max(SCORE)
     )
     letter = F.when(F.col(SCORE).isNull(), UNSCORED).when(F.col(SCORE) == F.col("_best"), BEST).otherwise(LESSER)
     return (
         best.withColumn("alpha_beta", letter)
-        .withColumn("Class", F.concat("Compound_Classification", "alpha_beta"))
+        .withColumn("Class", F.concat(text_or_na(F.col("Compound_Classification")), "alpha_beta"))
         .drop("_best")
     )
 

@@ -59,8 +59,12 @@ def wide_measures(long: DataFrame, samples: list[str]) -> DataFrame:
     """One row per feature with ``<sample>_<measure>`` columns, in sample then measure order.
 
     Rows of a feature that are already together (by feature and part) are folded there, and only
-    one wide row per feature and part is shuffled.
+    one wide row per feature and part is shuffled. A sample that is not in the list ends the run: it
+    would be lost from the table.
     """
+    sample = F.col("SampleDetail")
+    unknown = F.raise_error(F.concat(F.lit("sample not in the list of samples: "), sample))
+    long = long.withColumn("SampleDetail", F.when(sample.isNull() | sample.isin(*samples), sample).otherwise(unknown))
     in_parts = FEATURE + [c for c in ("_part",) if c in long.columns]
     folded = (
         long.groupBy(*in_parts)

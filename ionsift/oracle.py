@@ -6,6 +6,8 @@ nested aggregates. It is the check, not the engine.
 
 from __future__ import annotations
 
+import re
+
 from ionsift import fixtures as fx
 
 KEY = "ExpID, IonMode, FeatureNumber"
@@ -187,6 +189,33 @@ PARTS["joined"] = f"""
     SELECT s.ExpID, s.Compound, s.IonMode, {_ZEROED}, s.BothModes_Flag, h.N_CompoundHits
     FROM stacked s LEFT JOIN hits h ON s.ExpID = h.ExpID AND s.Compound IS NOT DISTINCT FROM h.Compound"""
 
+# The documented default: features that fail the sample flags are left out, and the others relabelled, before the
+# searches. The same parts over that smaller population.
+PARTS["early_feature"] = f"""
+    SELECT f.* REPLACE (label AS Compound) FROM feature f JOIN label USING ({KEY})
+    JOIN present p USING ({KEY}) JOIN spike s USING ({KEY})
+    WHERE NOT p.FalseSampleFeature_Flag AND NOT s.BelowSpike_Flag"""
+_SEARCHES = ("feature", "top_mass", "pair", "adduct_flag", "twin", "rough", "twin_rank", "twin_flag", "flags", "wide_flagged", "passing")
+for _name in _SEARCHES[1:]:
+    PARTS[f"early_{_name}"] = re.sub(rf"\b(FROM|JOIN)(\s+)({'|'.join(_SEARCHES)})\b", r"\1\2early_\3", PARTS[_name])
+
+# Single injections, wide.
+REP_SAMPLES = [f"{s}-{i}" for s in SAMPLES for i in range(1, 8)]
+_INJECTIONS = [f'"{s.replace("-", ".")}_{m}"' for s in REP_SAMPLES for m in MEASURES]
+PARTS["injection"] = f"""
+    SELECT {KEY}, concat(SampleDetail, '-', regexp_extract(Rep, '^[0-9]*', 0)) AS SampleDetail, volume AS MeanAbun,
+           volume AS MedAbun, {clamp("(volume - Blank_avgvol)")} AS subMeanAbun, {clamp("(volume - Blank_medvol)")} AS subMedAbun
+    FROM (SELECT * FROM abundance WHERE SampleDetail <> 'Blank') a LEFT JOIN blank USING ({KEY})"""
+PARTS["injection_cells"] = f"SELECT {KEY}, " + ", ".join(
+    f"""max(CASE WHEN SampleDetail = '{s}' THEN {m} END) AS "{s.replace('-', '.')}_{m}" """ for s in REP_SAMPLES for m in MEASURES
+) + f" FROM injection GROUP BY {KEY}"
+
+PARTS["export"] = fx.plain(fx.EXPORT).replace("`", '"')
+PARTS["export_feature"] = """
+    SELECT *, row_number() OVER (ORDER BY try_cast(Mass AS DOUBLE) NULLS LAST, try_cast("Retention Time" AS DOUBLE) NULLS LAST,
+             Compound NULLS LAST, Annotations NULLS LAST, try_cast(Frequency AS DOUBLE) NULLS LAST) AS FeatureNumber
+    FROM export"""
+
 PARTS["ratio"] = """
     SELECT l.*, DATA_SOURCES / best AS DataSourceRatio
     FROM lookup l JOIN (SELECT INPUT, CASE WHEN count(*) = count(DATA_SOURCES) THEN max(DATA_SOURCES) END AS best
@@ -231,8 +260,7 @@ PARTS["best"] = """
                    FROM scored WINDOW c AS (PARTITION BY ExpID, Chemical)) t
     WHERE NOT complete OR ToxPiScore = top"""
 PARTS["ranked"] = """
-    SELECT *, concat(Compound_Classification, alpha_beta) AS class_text,
-           CASE WHEN Compound_Classification IS NOT NULL THEN concat(Compound_Classification, alpha_beta) END AS Class
+    SELECT *, concat(coalesce(Compound_Classification, 'NA'), alpha_beta) AS Class
     FROM (SELECT *, CASE WHEN ToxPiScore IS NULL THEN 'γ'
                          WHEN ToxPiScore = max(ToxPiScore) OVER (PARTITION BY ExpID, Compound) THEN 'α'
                          ELSE 'β' END AS alpha_beta FROM best) t"""
@@ -252,8 +280,6 @@ _PI = ", ".join(f"{near(p)} AS {p}" for p in (*_SOURCES, "ToxPiScore"))
 
 def query(sql: str) -> str:
     """A statement with the named parts it needs in front."""
-    import re
-
     needed: list[str] = []
 
     def need(text: str) -> None:
@@ -282,11 +308,11 @@ def oracle() -> dict[str, str]:
             FROM present p JOIN (SELECT ExpID, IonMode, count(DISTINCT SampleDetail) AS n FROM stats
                                  GROUP BY ExpID, IonMode) c ON p.ExpID = c.ExpID AND p.IonMode = c.IonMode""",
         "cv_flag": f"""
-            SELECT {KEY}, SampleDetail, StdAbun / nullif(MeanAbun, 0) < 0.5E0 AS CVThresholdFlag,
-                   CAST(CASE WHEN ReplicateThresholdFlag AND StdAbun / nullif(MeanAbun, 0) < 0.5E0 THEN 1
-                        WHEN NOT (ReplicateThresholdFlag AND StdAbun / nullif(MeanAbun, 0) < 0.5E0) THEN 0 END
-                        AS BIGINT) AS SampleFeature
-            FROM summary""",
+            SELECT {KEY}, SampleDetail, CVThresholdFlag,
+                   CAST(CASE WHEN ReplicateThresholdFlag AND CVThresholdFlag THEN 1
+                        WHEN NOT (ReplicateThresholdFlag AND CVThresholdFlag) THEN 0 END AS BIGINT) AS SampleFeature
+            FROM (SELECT * REPLACE (CASE WHEN MeanAbun = 0 AND StdAbun > 0 THEN false
+                                    ELSE StdAbun / nullif(MeanAbun, 0) < 0.5E0 END AS CVThresholdFlag) FROM summary) s""",
         "spike_flag": "SELECT * FROM spike",
         "replicate_long": f"""
             SELECT {KEY}, ModeDetail, concat(SampleDetail, '-', regexp_extract(Rep, '^[0-9]*', 0)) AS SampleDetail,
@@ -336,8 +362,31 @@ def oracle() -> dict[str, str]:
         "filtered_long": """
             SELECT * FROM long WHERE NOT FalseSampleFeature_Flag AND NOT BelowSpike_Flag
                AND (NOT Duplicate_Flag OR (Duplicate_Flag AND Duplicate_Keep_Flag))""",
+        "prefiltered_features": "SELECT * FROM early_passing",
+        "replicate_wide": f"""
+            SELECT {KEY}, label AS Compound, Mass, RetentionTime, Score, {flag(_INJECTIONS)}, {_FLAGS}
+            FROM flags JOIN label USING ({KEY}) JOIN injection_cells USING ({KEY})""",
+        "prepare": " UNION ALL ".join(
+            f"""
+            SELECT FeatureNumber, 'E1' AS ExpID, 'Positive' AS IonMode, 'MS1' AS ModeDetail,
+                   '{'Blank' if c.split('_')[3].startswith('MB') else c.split('_')[3]}' AS SampleDetail, '{c.split('_')[4]}' AS Rep,
+                   nullif(try_cast({c} AS DOUBLE), 1) AS volume, try_cast(Mass AS DOUBLE) AS Mass,
+                   try_cast("Retention Time" AS DOUBLE) AS RetentionTime, CASE WHEN Compound IS NOT NULL THEN split_part(Compound, ' Esi', 1) END AS Compound,
+                   try_cast(regexp_extract(Annotations, 'overall=(.*),', 1) AS DOUBLE) AS Score,
+                   CAST(Frequency AS BIGINT) AS Frequency
+            FROM export_feature"""
+            for c in fx.EXPORT_COLUMNS
+        ),
+        "score_chart_table": f"""
+            SELECT g.*, page FROM (
+              SELECT ExpID, IonMode, Chemical, Mass, DTXSID, sub_Pi, {near("height")} AS height, weight, w, wm, wt,
+                     {near("sum(height * weight) OVER (PARTITION BY ExpID, Chemical)")} AS ToxPi FROM heights) g
+            JOIN (SELECT ExpID, Chemical, CAST(ceil(row_number() OVER (PARTITION BY ExpID ORDER BY s DESC, Chemical) / 9.0E0)
+                         AS BIGINT) AS page
+                  FROM (SELECT ExpID, Chemical, max(ToxPiScore) AS s FROM scored_rows GROUP BY ExpID, Chemical) c) p
+            ON g.ExpID = p.ExpID AND g.Chemical = p.Chemical""",
         "unique_compounds": r"""
-            SELECT DISTINCT regexp_replace(Compound, '\s[0-9].*', '') AS Compound FROM feature
+            SELECT DISTINCT ExpID, regexp_replace(Compound, '\s[0-9].*', '') AS Compound FROM feature
             WHERE regexp_matches(Compound, '[A-Z]')""",
         "mode_pairs": """
             SELECT DISTINCT a.ExpID, a.IonMode, b.IonMode AS match_IonMode FROM positive a JOIN negative b

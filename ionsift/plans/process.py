@@ -29,14 +29,15 @@ def flag_columns(params: Params) -> list[str]:
 def all_flags(features: DataFrame, from_samples: DataFrame, params: Params = Params()) -> DataFrame:
     """Every flag of every feature that has sample rows, next to the feature's columns.
 
-    With ``prefilter`` only features that pass the sample flags are searched for partners, and
-    the others are left out.
+    With ``prefilter`` only features that pass the sample flags are searched for partners, under
+    their final label, and the others are left out.
     """
     searched = features
     if params.prefilter:
         passing = from_samples.where(~F.col("FalseSampleFeature_Flag") & ~F.col("BelowSpike_Flag"))
         searched = join_on(features, passing.select(*FEATURE), FEATURE, "left_semi")
-    flagged = partner_flags(score_mass_flags(searched, params), params)
+    rated = score_mass_flags(searched, params)
+    flagged = partner_flags(relabel(rated) if params.prefilter else rated, params)
     return join_on(flagged, from_samples, FEATURE, "inner")
 
 

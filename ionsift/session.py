@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -26,17 +27,39 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
     return spark
 
 
+def _one_machine(master: str) -> bool:
+    """Driver and tasks share a file system: ``local`` and ``local[...]``, but not ``local-cluster[...]``."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a new one in local mode only."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local"):
+        if not named and not _one_machine(sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ionsift-"))
     return sc.getCheckpointDir()
 
 
+_folders: list[str] = []
+
+
+@contextlib.contextmanager
+def run_folder(spark: SparkSession):
+    """Intermediate tables of the block go to a folder of their own, which is removed at its end.
+
+    Results must be written before the block ends: they read these tables.
+    """
+    _folders.append(f"{shared_folder(spark)}/run-{uuid.uuid4().hex}")
+    try:
+        yield _folders[-1]
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write an intermediate table to the shared folder and go on from there.
 
@@ -44,7 +67,7 @@ def settle(df: DataFrame) -> DataFrame:
     and a lost executor costs no more than a re-read. Parquet keeps column pruning.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    path = f"{_folders[-1] if _folders else shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

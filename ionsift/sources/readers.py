@@ -42,6 +42,11 @@ def read_table(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return null_tokens(raw.withColumn("source", F.col("_metadata.file_path")), cells)
 
 
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a file."""
+    return _delimited(spark, [path], delimiter(path)).columns
+
+
 def read_tables(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
     """One table per distinct header: exports differ in their sample columns.
 
@@ -49,8 +54,7 @@ def read_tables(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
     """
     groups: dict[tuple, list[str]] = {}
     for path in paths:
-        sep = delimiter(path)
-        groups.setdefault((sep, *_delimited(spark, [path], sep).columns), []).append(path)
+        groups.setdefault((delimiter(path), *read_header(spark, path)), []).append(path)
     return [read_table(spark, group) for group in groups.values()]
 
 

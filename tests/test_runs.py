@@ -149,7 +149,7 @@ def test_files_to_charts(spark, tmp_path):
     back = spark.read.csv(out["raw_flagged"], header=True)
     assert back.count() == 8 and {"run_date", "ExpID", "IonMode"} <= set(back.columns)
     joined, compounds = run.joined_and_listed(result, params)
-    assert sorted(r[0] for r in compounds.collect()) == ["NA@1", "Tea"]  # a label made of a missing mass
+    assert sorted(r.Compound for r in compounds.collect()) == ["NA@1", "Tea"]  # a label made of a missing mass
     lookup = tmp_path / "lookup.tsv"
     lookup.write_text(
         "INPUT\tDATA_SOURCES\tTOXCAST % ACTIVE\tEXPOCAST_MEDIAN_EXPOSURE_PREDICTION_MG/KG-BW/DAY\tPreferred_Name\tDTXSID\n"
