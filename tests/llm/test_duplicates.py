@@ -4,8 +4,6 @@ import re
 from collections import defaultdict
 
 import numpy as np
-import pytest
-from pyspark.sql import functions as F
 
 from ionsift.llm import common, components, hashing, minhash, suffix_dedup
 from tests.llm.conftest import CLASHING, ODD, SMALL

@@ -5,7 +5,6 @@ from collections import Counter
 
 import pytest
 import regex
-from pyspark.sql import functions as F
 
 from ionsift.llm import common, line_dedup, quality, syncmers, toxicity
 from tests.llm.conftest import CLASHING, ODD, SMALL
