@@ -49,9 +49,6 @@ class Places:
         attached = with_dataset(df, self.tops, DATASET, self.datasets)
         return attached.withColumn("half", F.nullif(F.col("_top") * error * 1e-6, F.lit(0.0))).drop("_top")
 
-    def widest(self, ppm: bool, error: float) -> float:
-        return self.top * error * 1e-6 if ppm else error / 1000
-
     def known(self) -> DataFrame:
         return self.table.where(F.col("Mass").isNotNull() & F.col("RetentionTime").isNotNull())
 
@@ -126,46 +123,46 @@ def _adduct_tags(params: Params) -> list[str]:
     return [f"{verb}_{name}_adduct" for name in params.adduct_names for verb in ("is", "has")]
 
 
-def _adduct_hits(features: DataFrame, places: Places, params: Params) -> DataFrame:
-    """(place, tag) for every place with a partner; a tag names the flag column it sets."""
-    widest = places.widest(params.adduct_ppm, params.adduct_error)
-    clear = [x for x in params.adducts if x[2] > widest]
-    close = [x for x in params.adducts if x[2] <= widest]
+def _adduct_hits(places: Places, params: Params) -> DataFrame:
+    """(place, tag) for every place with a partner; a tag names the flag column it sets.
+
+    Where an adduct's mass is within the window's half width (``close``), which depends on the
+    dataset's largest mass, windows lie around the feature itself and shrink with its mass; such an adduct has a scale
+    of its own on which its windows are again one to two cells long. The sweep does not count the feature itself.
+    """
     is_tag, has_tag = (F.col("adduct") * 2).alias("tag"), (F.col("adduct") * 2 + 1).alias("tag")
-    out = []
-    if clear:
-        match = _match(params)
-        scale = lambda mass: F.expr(f"{match.axis(mass, around_zero=False)} / {MASS_CELL}D")
-        points = places.with_half(places.known(), params.adduct_ppm, params.adduct_error)
-        asked = points.withColumn("_x", F.explode(_adduct_array(clear, params))).select(
-            *POINT, "half", "_x.adduct", "_x.delta"
-        )
-        asked = with_bounds(asked, above=match.partners_above("Mass"), below=match.partners_below("Mass"))
-        ends = lambda tag, way: F.struct(
-            tag, F.col(f"{way}_low").alias("low"), F.col(f"{way}_high").alias("high")
-        )
-        windows = (
-            asked.withColumn("_w", F.explode(F.array(ends(has_tag, "above"), ends(is_tag, "below"))))
-            .select(*POINT, "half", "_w.tag", "_w.low", "_w.high")
-            .withColumns({"axis_low": scale("low"), "axis_high": scale("high")})
-        )
-        targets = points.select(*DATASET, F.col("Mass").alias("mass"), "RetentionTime", scale("Mass").alias("axis"))
-        out.append(
-            window_hits(
-                windows, targets, DATASET, params.adduct_rt, ["Mass", "RetentionTime", "tag"],
-                rows_per_task=params.rows_per_task, at_most=places.rows,
-            )
-        )
-    if close:
-        # A delta inside the window around 0 would let a feature find itself: go by pairs.
-        # The partners of a place are those of each feature there, so the place stands for them.
-        ends = lambda side, tag: F.struct(
-            F.col(f"{side}_mass").alias("Mass"), F.col(f"{side}_rt").alias("RetentionTime"), tag
-        )
-        found = F.explode(F.array(ends("a", has_tag), ends("b", is_tag))).alias("_x")
-        pairs = _pairs(features, places, close, params)
-        out.append(pairs.select(*DATASET, found).select(*DATASET, "_x.*").distinct())
-    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+    match, p = _match(params), params.adduct_error * 1e-6
+
+    def scaled(mass: str) -> Column:
+        clear = f"{mass} / half"
+        return F.expr(f"(CASE WHEN scale = 0 THEN {clear} ELSE ln(delta + {mass} * {p}D) / {p}D END) / {MASS_CELL}D")
+
+    # Without a relative bound all windows are as long as ``half`` says.
+    close = "x.delta <= half" if params.adduct_ppm else "false"
+    points = places.with_half(places.known(), params.adduct_ppm, params.adduct_error)
+    points = points.withColumn("_all", _adduct_array(params.adducts, params))
+    asked = points.withColumn("_x", F.explode("_all")).select(*POINT, "half", "_x.adduct", "_x.delta")
+    asked = asked.withColumn("scale", F.expr(f"IF({close.replace('x.', '')}, adduct + 1, 0)"))
+    asked = with_bounds(asked, above=match.partners_above("Mass"), below=match.partners_below("Mass"))
+    ends = lambda tag, way: F.struct(
+        tag, F.col(f"{way}_low").alias("low"), F.col(f"{way}_high").alias("high")
+    )
+    windows = (
+        asked.withColumn("_w", F.explode(F.array(ends(has_tag, "above"), ends(is_tag, "below"))))
+        .select(*POINT, "half", "delta", "scale", "_w.tag", "_w.low", "_w.high")
+        .withColumns({"axis_low": scaled("low"), "axis_high": scaled("high"), "axis": scaled("Mass")})
+    )
+    scales = f"concat(array(named_struct('scale', 0, 'delta', 0D)), transform(filter(_all, x -> {close}), x -> named_struct('scale', x.adduct + 1, 'delta', x.delta)))"
+    targets = (
+        points.withColumn("_s", F.explode(F.expr(scales)))
+        .select(*POINT, "n", "half", "_s.scale", "_s.delta")
+        .select(*DATASET, "scale", F.col("Mass").alias("mass"), "RetentionTime", "n", scaled("Mass").alias("axis"))
+    )
+    hits = window_hits(
+        windows, targets, [*DATASET, "scale"], params.adduct_rt, ["Mass", "RetentionTime", "tag"],
+        rows_per_task=params.rows_per_task, at_most=places.rows, own_axis="axis",
+    )
+    return hits.drop("scale")
 
 
 def _duplicate_hits(places: Places, params: Params) -> DataFrame:
@@ -235,7 +232,7 @@ def _own_polarity_only(flagged: DataFrame, params: Params) -> DataFrame:
 def adduct_flags(features: DataFrame, params: Params = Params()) -> DataFrame:
     """``is_<adduct>_adduct`` and ``has_<adduct>_adduct`` for all adducts in one search."""
     places = _places(features)
-    hits = _adduct_hits(features, places, params)
+    hits = _adduct_hits(places, params)
     return _own_polarity_only(_with_tags(features, places, hits, _adduct_tags(params), params), params)
 
 
@@ -277,5 +274,5 @@ def partner_flags(features: DataFrame, params: Params = Params()) -> DataFrame:
     places = _places(features)
     tags = _adduct_tags(params) + ["Duplicate_Flag"]
     duplicates = _duplicate_hits(places, params).withColumn("tag", F.lit(len(tags) - 1))
-    hits = _adduct_hits(features, places, params).unionByName(duplicates)
+    hits = _adduct_hits(places, params).unionByName(duplicates)
     return _with_keep(_own_polarity_only(_with_tags(features, places, hits, tags, params), params))

@@ -27,7 +27,7 @@ from ionsift.session import settle
 
 MASS_CELL = 0.9
 TIME_CELL = 0.999
-SLICES = 256
+GRID = 1024  # quantiles at which a crowded lane can be cut
 # Half steps of the last binary digit tried on each side of a computed bound.
 NEARBY = 6
 
@@ -209,7 +209,7 @@ def window_hits(
     skip_cell: Column | None = None,
     rows_per_task: int = 100_000,
     at_most: int | None = None,
-    slices: int = SLICES,
+    own_axis: str | None = None,
 ) -> DataFrame:
     """``by`` and ``identity`` of every window that holds at least one point.
 
@@ -217,6 +217,9 @@ def window_hits(
     ``low``/``high``, and ``axis_low``/``axis_high`` (the bounds in cell units); ``points``:
     ``by``, ``mass``, ``RetentionTime``, ``axis``. ``skip_cell`` leaves out cells of a window by
     the columns ``cell`` and ``rcell``. ``at_most`` is a known bound on the number of points.
+
+    With ``own_axis``, the axis of the window's own point, that point does not count: ``points`` then has the
+    number ``n`` of features at each, ``identity`` has ``Mass``, and a window needs a feature besides its own.
     """
     centre = F.col("RetentionTime")
     key = by
@@ -224,20 +227,19 @@ def window_hits(
         key = by + ["_rt_key"]
         windows, points = windows.withColumn("_rt_key", centre), points.withColumn("_rt_key", centre)
     place = key + ["cell", "rcell"]
+    many = at_most is None or at_most > rows_per_task
 
-    # Equal masses in a cell matter only by their earliest and latest time: combined before the
-    # shuffle, so copies of a point cost one row.
+    # Equal masses in a cell matter only by their number and their earliest and latest time:
+    # combined before the shuffle, so copies of a point cost one row.
+    number = F.col("n") if own_axis else F.lit(1).cast("long")
     occupied = (
         points.where(F.col("axis").isNotNull() & centre.isNotNull())
-        .select(*key, F.floor("axis").alias("cell"), time_cell(centre, rt_tolerance).alias("rcell"), "mass", "axis", centre)
-        .groupBy(*place, "mass", "axis")
-        .agg(F.max(centre).alias("latest"), F.min(centre).alias("earliest"))
+        .select(*key, F.floor("axis").alias("cell"), time_cell(centre, rt_tolerance).alias("rcell"), "mass", number.alias("n"), centre)
+        .groupBy(*place, "mass")
+        .agg(F.max(centre).alias("latest"), F.min(centre).alias("earliest"), F.sum("n").alias("n"))
     )
-    crowded = None
-    if at_most is None or at_most > rows_per_task:
+    if many:
         occupied = settle(occupied)
-        per_cell = occupied.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
-        crowded = heavy_keys(per_cell, place, "_n", rows_per_task)
 
     # A window looks at a cell upwards to its upper bound, or downwards to its lower bound; the
     # latter is the same sweep over negated masses.
@@ -249,67 +251,115 @@ def window_hits(
     )
     if skip_cell is not None:
         looking = looking.where(~skip_cell)
+    if many:  # windows that look into an empty cell go no further
+        looking = join_on(looking, occupied.select(*place), place, "left_semi")
     down = F.col("cell") == F.col("_from")
     inf = F.lit(float("inf"))
     whole = ~down & (F.col("cell") < F.col("_to"))
     side = F.signum(F.col("rcell") - time_cell(centre, rt_tolerance)).cast("byte")
+    own = F.lit(0).cast("long")
+    if own_axis:
+        inside = (F.col("low") <= F.col("Mass")) & (F.col("Mass") <= F.col("high"))
+        own = F.when((side == 0) & (F.floor(own_axis) == F.col("cell")) & inside, F.lit(1).cast("long")).otherwise(own)
     looking = looking.select(
         *place,
         F.when(down, F.lit(-1)).otherwise(1).cast("byte").alias("way"),
         F.when(down, -F.col("low")).when(whole, inf).otherwise(F.col("high")).alias("pos"),
-        F.when(down, F.col("axis_low")).when(whole, inf).otherwise(F.col("axis_high")).alias("axis"),
-        F.struct(*identity, side.alias("side")).alias("w"),
+        F.struct(*identity, side.alias("side"), own.alias("own")).alias("w"),
         F.lit(None).cast("double").alias("latest"),
         F.lit(None).cast("double").alias("earliest"),
+        F.lit(None).cast("long").alias("n"),
     )
     ways = F.array(F.lit(-1).cast("byte"), F.lit(1).cast("byte"))
     swept = occupied.withColumn("way", F.explode(ways)).select(
         *place,
         "way",
         (F.col("mass") * F.col("way")).alias("pos"),
-        "axis",
         F.lit(None).cast(looking.schema["w"].dataType).alias("w"),
         "latest",
         "earliest",
+        "n",
     )
-
-    rows = looking.unionByName(swept)
-    lane = place + ["way"]
-    whole_cell = F.col("axis") == inf
-    if crowded is None:
-        rows = rows.drop("axis")
-    else:
-        # A crowded cell is cut into mass slices; what lies in earlier slices is added afterwards.
-        part = F.least(F.floor((F.col("axis") - F.col("cell")) * slices), F.lit(slices - 1))
-        part = F.when(whole_cell, slices).when(F.col("way") == 1, part).otherwise(slices - 1 - part)
-        rows = join_on(rows, F.broadcast(crowded), place)
-        rows = rows.withColumn("slice", F.when(F.col("_parts").isNotNull(), part).otherwise(0).cast("int"))
-        lane = lane + ["slice"]
-    sweep = Window.partitionBy(*lane).orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    answers = (
-        rows.withColumns({"best_latest": F.max("latest").over(sweep), "best_earliest": F.min("earliest").over(sweep)})
-        .where(F.col("w").isNotNull())
-        .select(*by, "w", "best_latest", "best_earliest")
-    )
-    if crowded is not None:
-        sliced = rows.where(F.col("_parts").isNotNull())
-        before = (
-            sliced.where(F.col("w").isNull())
-            .groupBy(*lane)
-            .agg(F.max("latest").alias("latest"), F.min("earliest").alias("earliest"))
-            .withColumn("slice", F.explode(F.sequence(F.col("slice") + 1, F.lit(slices))))
-            .groupBy(*lane)
-            .agg(F.max("latest").alias("best_latest"), F.min("earliest").alias("best_earliest"))
-        )
-        asking = sliced.where(F.col("w").isNotNull()).select(*lane, "w")
-        answers = answers.unionByName(
-            join_on(asking, before, lane, "inner").select(*by, "w", "best_latest", "best_earliest")
-        )
+    answers = _swept(looking.unionByName(swept), place + ["way"], many, rows_per_task)
 
     own_time = F.col("w.RetentionTime")
     found = (
         F.when(F.col("w.side") < 0, F.abs(own_time - F.col("best_latest")) <= rt_tolerance)
         .when(F.col("w.side") > 0, F.abs(own_time - F.col("best_earliest")) <= rt_tolerance)
-        .otherwise(F.col("best_latest").isNotNull())
+        .otherwise(F.col("best_n") > F.col("w.own"))
     )
     return answers.where(found).select(*by, *[F.col(f"w.{c}").alias(c) for c in identity]).distinct()
+
+
+_BEST = {"best_latest": F.max, "best_earliest": F.min, "best_n": F.sum}
+_OF = {"best_latest": "latest", "best_earliest": "earliest", "best_n": "n"}
+
+
+def _both(name: str, one: str, other: str) -> Column:
+    """Two partial answers as one; a missing one says nothing."""
+    if name == "best_n":
+        return F.coalesce(F.col(one), F.lit(0)) + F.coalesce(F.col(other), F.lit(0))
+    return F.greatest(one, other) if name == "best_latest" else F.least(one, other)
+
+
+def _sliced(rows: DataFrame, lane: list[str], rows_per_task: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with the ``slice`` of their lane, and the crowded lanes (None if there is none).
+
+    A lane with more rows than a task's share, points and windows together, is cut at quantiles of
+    its positions into as many slices as its count asks for; equal positions stay together.
+    """
+    crowded = heavy_keys(rows.groupBy(*lane).agg(F.count(F.lit(1)).alias("_n")), lane, "_n", rows_per_task)
+    if crowded is None:
+        return rows.withColumn("slice", F.lit(0)), None
+    finite = F.when(F.col("pos") < float("inf"), F.col("pos"))
+    steps = ", ".join(f"{i / GRID!r}D" for i in range(1, GRID))
+    quantiles = F.expr(f"percentile_approx(_pos, array({steps}), {10 * GRID})").alias("_grid")
+    cut = join_on(rows, F.broadcast(crowded), lane, "inner", null_safe=True).withColumn("_pos", finite)
+    n = f"least(_parts, {GRID})"
+    picked = f"transform(sequence(1, {n} - 1), i -> _grid[CAST(i * {GRID} / {n} AS INT) - 1])"
+    # One row per crowded lane, at most MAX_HEAVY as ``heavy_keys`` has it.
+    bounds = cut.groupBy(*lane, "_parts").agg(quantiles).selectExpr(*lane, f"coalesce(array_distinct({picked}), array()) AS _cuts")
+    placed = join_on(rows, F.broadcast(settle(bounds)), lane, "left", null_safe=True)
+    before = F.expr("size(filter(_cuts, c -> c < pos))")
+    return placed.withColumn("slice", F.coalesce(F.when(F.col("_cuts").isNotNull(), before), F.lit(0))).drop("_cuts"), crowded
+
+
+def _swept(rows: DataFrame, lane: list[str], many: bool, rows_per_task: int) -> DataFrame:
+    """Every window (``w``) with the best times and the number of points at or before its ``pos`` in its lane.
+
+    What lies in earlier slices of a crowded lane is added from a table with one row per slice;
+    windows over a whole crowded cell (``pos`` infinite) take the lane's total and stay out of the sweep.
+    """
+    crowded, parts = None, []
+    if many:
+        rows, crowded = _sliced(settle(rows), lane, rows_per_task)
+        parts = ["slice"]
+    asks = F.col("w").isNotNull()
+    sweep = Window.partitionBy(*lane, *parts).orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    running = {name: _BEST[name](_OF[name]).over(sweep) for name in _BEST}
+    wanted = [*lane, "w", *_BEST]
+    if crowded is None:
+        return rows.withColumns(running).where(asks).select(*wanted)
+    rows = join_on(rows, F.broadcast(crowded), lane, "left", null_safe=True)
+    over_all = asks & F.col("_parts").isNotNull() & (F.col("pos") == float("inf"))
+    per_slice = rows.where(F.col("_parts").isNotNull()).groupBy(*lane, "slice").agg(
+        *[_BEST[name](_OF[name]).alias(name) for name in _BEST]
+    )
+    earlier = Window.partitionBy(*lane).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy(*lane)
+    # One row per slice of a crowded lane, at most about 2 * MAX_HEAVY in all.
+    known = settle(
+        per_slice.select(
+            *lane,
+            "slice",
+            *[_BEST[name](name).over(earlier).alias(f"_before_{name}") for name in _BEST],
+            *[_BEST[name](name).over(everything).alias(f"_all_{name}") for name in _BEST],
+        )
+    )
+    before = known.select(*lane, "slice", *[f"_before_{name}" for name in _BEST])
+    swept = rows.where(~over_all).withColumns(running).where(asks)
+    swept = join_on(swept, F.broadcast(before), [*lane, "slice"], "left", null_safe=True)
+    swept = swept.withColumns({name: _both(name, name, f"_before_{name}") for name in _BEST})
+    totals = known.select(*lane, *[F.col(f"_all_{name}").alias(name) for name in _BEST]).distinct()
+    whole = join_on(rows.where(over_all), F.broadcast(totals), lane, "inner", null_safe=True)
+    return swept.select(*wanted).unionByName(whole.select(*wanted))

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from ionsift.operators import ranges
 from ionsift.operators.partners import adduct_flags, adduct_pairs, duplicate_flags
 from ionsift.params import Params
 
@@ -109,3 +110,35 @@ def test_no_nested_loop_and_no_single_task(spark):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
         assert "Python" not in plan
+
+
+def test_one_huge_mass_changes_no_other_dataset(spark):
+    """Near it every adduct lies within the mass window; no pairs are listed for it, nor elsewhere."""
+    rows = features("crowd", 3, 150) + [(900, "C", "Positive", 900_000.0, 5.0, "C", 1.0, 1)]
+    rows += [(901 + i, "C", "Positive", 300.0 + i * 0.003, 5.0 + i % 3 * 0.02, "C", 1.0, 1) for i in range(60)]
+    for params in (Params(), Params(rows_per_task=15)):
+        df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+        want = brute(rows, params, params.adducts, True, params.adduct_error, params.adduct_rt)
+        flagged = adduct_flags(df, params)
+        plan = flagged._jdf.queryExecution().toString()
+        assert "a_mass" not in plan  # the column of listed pairs
+        for r in flagged.where("IonMode = 'Positive'").collect():
+            for name in ("Na", "Ammonium"):
+                assert r[f"has_{name}_adduct"] is any(a == r.FeatureNumber and x == name for _, a, _, x in want)
+                assert r[f"is_{name}_adduct"] is any(b == r.FeatureNumber and x == name for _, _, b, x in want)
+
+
+def test_lanes_full_of_windows_are_cut(spark):
+    """3,000 windows on one point, and a crowd of points: no slice holds much more than a task's share."""
+    rnd = random.Random(6)
+    rows = [("a", 1.0 + i * 1e-4, (i, 5.0, 0), None, None, None) for i in range(3000)] + [("a", 0.5, None, 5.0, 5.0, 1)]
+    rows += [("b", rnd.random(), None, rnd.random(), rnd.random(), 1) for _ in range(900)] + [("b", float("inf"), (-1, 5.0, 0), None, None, None)]
+    schema = "lane string, pos double, w struct<id:long,RetentionTime:double,own:long>, latest double, earliest double, n long"
+    df = spark.createDataFrame(rows, schema)
+    sliced, crowded = ranges._sliced(df, ["lane"], 100)
+    sizes = sliced.where("pos < double('inf')").groupBy("lane", "slice").count().collect()
+    assert max(r["count"] for r in sizes) <= 150 and len(sizes) >= 35
+    got = {r.w.id: r for r in ranges._swept(df, ["lane"], True, 100).collect()}
+    assert all(got[i].best_n == 1 and got[i].best_latest == 5.0 for i in range(3000))
+    points = [r for r in rows if r[0] == "b" and r[2] is None]
+    assert got[-1].best_n == 900 and got[-1].best_latest == max(r[3] for r in points)
