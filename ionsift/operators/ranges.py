@@ -265,7 +265,7 @@ def window_hits(
         *place,
         F.when(down, F.lit(-1)).otherwise(1).cast("byte").alias("way"),
         F.when(down, -F.col("low")).when(whole, inf).otherwise(F.col("high")).alias("pos"),
-        F.struct(*identity, side.alias("side"), own.alias("own")).alias("w"),
+        F.struct(*identity, side.alias("side"), own.alias("_self")).alias("w"),
         F.lit(None).cast("double").alias("latest"),
         F.lit(None).cast("double").alias("earliest"),
         F.lit(None).cast("long").alias("n"),
@@ -286,7 +286,7 @@ def window_hits(
     found = (
         F.when(F.col("w.side") < 0, F.abs(own_time - F.col("best_latest")) <= rt_tolerance)
         .when(F.col("w.side") > 0, F.abs(own_time - F.col("best_earliest")) <= rt_tolerance)
-        .otherwise(F.col("best_n") > F.col("w.own"))
+        .otherwise(F.col("best_n") > F.col("w._self"))
     )
     return answers.where(found).select(*by, *[F.col(f"w.{c}").alias(c) for c in identity]).distinct()
 

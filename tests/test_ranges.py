@@ -133,7 +133,7 @@ def test_lanes_full_of_windows_are_cut(spark):
     rnd = random.Random(6)
     rows = [("a", 1.0 + i * 1e-4, (i, 5.0, 0), None, None, None) for i in range(3000)] + [("a", 0.5, None, 5.0, 5.0, 1)]
     rows += [("b", rnd.random(), None, rnd.random(), rnd.random(), 1) for _ in range(900)] + [("b", float("inf"), (-1, 5.0, 0), None, None, None)]
-    schema = "lane string, pos double, w struct<id:long,RetentionTime:double,own:long>, latest double, earliest double, n long"
+    schema = "lane string, pos double, w struct<id:long,RetentionTime:double,_self:long>, latest double, earliest double, n long"
     df = spark.createDataFrame(rows, schema)
     sliced, crowded = ranges._sliced(df, ["lane"], 100)
     sizes = sliced.where("pos < double('inf')").groupBy("lane", "slice").count().collect()
