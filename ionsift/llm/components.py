@@ -23,6 +23,13 @@ def attach(df: DataFrame, key: str, **aggregates) -> DataFrame:
     return df.join(groups, key)
 
 
+def _stars(table: DataFrame, rows: int) -> bool:
+    """Whether every edge leads from a node of its own straight to a centre, so that nothing can change."""
+    ends = table.groupBy("a").agg(F.lit(True).alias("from")).join(table.select("b").distinct(), F.col("a") == F.col("b"), "left")
+    seen = ends.agg(F.count(F.lit(1)).alias("n"), F.count("b").alias("both")).first()
+    return seen["n"] == rows and not seen["both"]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (smallest node reachable) of every node that has an edge ``a``-``b``.
 
@@ -47,7 +54,7 @@ def components(edges: DataFrame) -> DataFrame:
             low.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         )
         table, now = settle_and_watch(small.distinct(), sum=checksum)
-        if now == before:
+        if now == before or _stars(table, now["rows"]):
             break
         before = now
     return table.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

@@ -17,7 +17,7 @@ from ionsift.session import settle, settle_and_watch
 
 BINS = 128
 ROWS = 4  # coordinates of a band: 32 bands find a pair of similarity 0.75 but for 5 in a million
-MARK = 512  # coordinates of the finer sketch of candidates, four bits of each
+MARK = 2048  # coordinates of the finer sketch of candidates, one bit of each
 SLICE = 1 << 21  # bytes of text hashed at a time
 _U = np.uint64
 _EMPTY = _U(2**64 - 1)
@@ -98,10 +98,10 @@ def sketch_documents(docs: DataFrame, bins: int = BINS, rows: int = ROWS, width:
 
 
 def marks(sets: list[np.ndarray], bins: int = MARK) -> np.ndarray:
-    """Four bits of each coordinate of a finer sketch, 16 to a 64-bit number."""
-    nibbles = sketches(sets, bins) & _U(15)
-    shifts = np.arange(16, dtype=_U) * _U(4)
-    return (nibbles.reshape(len(sets), bins // 16, 16) << shifts).sum(axis=2, dtype=_U)
+    """One bit of each coordinate of a finer sketch, 64 to a number."""
+    bits = sketches(sets, bins) & _U(1)
+    shifts = np.arange(64, dtype=_U)
+    return (bits.reshape(len(sets), bins // 64, 64) << shifts).sum(axis=2, dtype=_U)
 
 
 def alike(one: Column, other: Column, percent: int, bins: int = MARK) -> Column:
@@ -109,14 +109,11 @@ def alike(one: Column, other: Column, percent: int, bins: int = MARK) -> Column:
 
     So it misses 3 of a million links at the very bound, and fewer above it.
     """
-    p = percent / 100 + (1 - percent / 100) / 16
+    p = (1 + percent / 100) / 2
     least = math.floor(bins * p - 4.5 * math.sqrt(bins * p * (1 - p)))
     differing = None
-    for i in range(bins // 16):
-        z = one[i].bitwiseXOR(other[i])
-        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
-        z = z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(0x1111111111111111)
-        count = F.bit_count(z)
+    for i in range(bins // 64):
+        count = F.bit_count(one[i].bitwiseXOR(other[i]))
         differing = count if differing is None else differing + count
     return differing <= bins - least
 
