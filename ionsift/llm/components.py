@@ -119,9 +119,37 @@ def linked(
         pairs = one.join(
             other, (one["key"] == other["key"]) & may & alike(F.col("mark_a"), F.col("mark_b")) & first_key
         ).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        more, seen = settle_and_watch(verify(pairs).select("a", "b"))
-        links = links.unionByName(more)
+        links, found = _confirmed(pairs, links, found, verify, max(int(seen["members"]), 100_000))
         block += 1
-        if seen["rows"]:
-            found = settle(components(links))
     return found
+
+
+def _confirmed(pairs: DataFrame, links: DataFrame, found: DataFrame, verify, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Links and components after every pair was confirmed, refused, or found to lie in one component already.
+
+    Many pairs are not confirmed at once: first one for each node, which joins most of what
+    belongs together, then blocks of about ``limit`` of the pairs that are still apart.
+    """
+    pending, seen = settle_and_watch(pairs)
+    first = True
+    while seen["rows"]:
+        blocks = -(-seen["rows"] // limit)
+        if blocks == 1:
+            batch = pending
+        elif first:
+            batch = settle(pending.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+        else:
+            batch = pending.where(F.pmod(F.xxhash64("a", "b"), F.lit(blocks)) == 0)
+        more, confirmed = settle_and_watch(verify(batch).select("a", "b"))
+        links = links.unionByName(more)
+        if confirmed["rows"]:
+            found = settle(components(links))
+        if blocks == 1:
+            break
+        left = pending.join(batch, ["a", "b"], "left_anti")
+        for end in ("a", "b"):
+            of_end = found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+            left = left.join(of_end, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+        pending, seen = settle_and_watch(left.where("of_a <> of_b").select("a", "b"))
+        first = False
+    return links, found
