@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ionsift.operators.scoring import SCORE
 from ionsift.operators.skew import balanced_join, heavy_keys, number_rows, with_group
 from ionsift.params import Params
-from ionsift.session import settle
+from ionsift.session import settle_and_watch
 
 
 def weight_sectors(params: Params = Params()) -> list[tuple[str, float, float, float, float]]:
@@ -43,12 +43,13 @@ def chart_pages(scored: DataFrame, params: Params = Params()) -> DataFrame:
 
 def pi_geometry(scored: DataFrame, params: Params = Params()) -> DataFrame:
     """Chart rows of every scored chemical: sector, height, and the total of its rows."""
-    sectors = settle(pi_melt(scored.where(F.col(SCORE).isNotNull()), params))
+    sectors, seen = settle_and_watch(pi_melt(scored.where(F.col(SCORE).isNotNull()), params))
     return with_group(
         sectors,
         ["ExpID", "Chemical"],
         ["sub_Pi", "IonMode", "Mass", "DTXSID"],
         params.rows_per_task,
+        seen["rows"],
         ToxPi=F.sum(F.col("height") * F.col("weight")),
     )
 

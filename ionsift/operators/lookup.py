@@ -9,6 +9,7 @@ from ionsift.functions.nulls import ifelse, max_if_complete, text_or_na
 from ionsift.functions.text import to_number
 from ionsift.operators.skew import balanced_join, heavy_keys, with_group
 from ionsift.params import Params
+from ionsift.session import settle_and_watch
 
 # Columns of the lookup result.
 ACTIVITY = "TOXCAST___ACTIVE"
@@ -25,8 +26,11 @@ def source_ratio(lookup: DataFrame, params: Params = Params()) -> DataFrame:
 
     One unknown count leaves the whole input undecided.
     """
-    counted = lookup.withColumn("_s", _number(lookup, SOURCES))
-    best = with_group(counted, ["INPUT"], counted.columns, params.rows_per_task, _best=max_if_complete(F.col("_s")))
+    # A text file would be parsed again for each reader.
+    counted, seen = settle_and_watch(lookup.withColumn("_s", _number(lookup, SOURCES)))
+    best = with_group(
+        counted, ["INPUT"], counted.columns, params.rows_per_task, seen["rows"], _best=max_if_complete(F.col("_s"))
+    )
     return best.withColumn("DataSourceRatio", F.try_divide("_s", "_best")).drop("_s", "_best")
 
 
@@ -44,13 +48,15 @@ def chem_classify(lookup: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def chem_lookup(rows: DataFrame, classified: DataFrame, params: Params = Params()) -> DataFrame:
+def chem_lookup(
+    rows: DataFrame, classified: DataFrame, params: Params = Params(), at_most: int | None = None
+) -> DataFrame:
     """Every row with every candidate of its compound; rows without one stay.
 
     A compound carried by very many rows is cut into parts. The result is as large as the
     candidates make it.
     """
     counts = rows.groupBy("Compound").agg(F.count(F.lit(1)).alias("_n"))
-    heavy = heavy_keys(counts, ["Compound"], "_n", params.rows_per_task)
+    heavy = heavy_keys(counts, ["Compound"], "_n", params.rows_per_task, at_most)
     by = [c for c in ("ExpID", "IonMode", "Mass", "RetentionTime", "Score") if c in rows.columns]
     return balanced_join(rows, classified.withColumnRenamed("INPUT", "Compound"), ["Compound"], heavy, by)

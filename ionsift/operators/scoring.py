@@ -13,7 +13,7 @@ from ionsift.operators.lookup import chem_classify, chem_lookup
 from ionsift.operators.skew import with_dataset, with_group
 from ionsift.operators.wide import columns_like
 from ionsift.params import Params
-from ionsift.session import settle
+from ionsift.session import settle, settle_and_watch
 
 # What each indicator is the rescaled form of.
 INDICATOR_SOURCE = {
@@ -33,13 +33,16 @@ def _cells(df: DataFrame) -> Column:
     return F.array(*cells) if cells else F.array().cast("array<double>")
 
 
-def sample_presence(joined: DataFrame, params: Params = Params()) -> DataFrame:
-    """Named rows with the number of measured cells over all rows of the same name and mass."""
+def sample_presence(joined: DataFrame, params: Params = Params(), at_most: int | None = None) -> DataFrame:
+    """Named rows with the number of measured cells over all rows of the same name and mass.
+
+    ``at_most`` here and below is a known bound on the rows, which spares a look at the size of the groups.
+    """
     rows = joined.where(named(F.col("Compound")))
     present = rows.withColumn("_present", F.size(F.filter(_cells(rows), lambda c: c.isNotNull())))
     by = [c for c in ("IonMode", "RetentionTime", "Score") if c in rows.columns]
     return with_group(
-        present, ["ExpID", "Compound", "Mass"], by, params.rows_per_task, SampleN=F.sum("_present")
+        present, ["ExpID", "Compound", "Mass"], by, params.rows_per_task, at_most, SampleN=F.sum("_present")
     ).drop("_present")
 
 
@@ -63,7 +66,8 @@ def pi_normalise(rows: DataFrame) -> DataFrame:
     bounds = rows.groupBy("ExpID").agg(
         *[f(s).alias(f"_{name}_{p}") for p, s in INDICATOR_SOURCE.items() for name, f in (("lo", F.min), ("hi", F.max))]
     )
-    with_bounds = with_dataset(rows, bounds, ["ExpID"], bounds.count())
+    bounds, seen = settle_and_watch(bounds)
+    with_bounds = with_dataset(rows, bounds, ["ExpID"], seen["rows"])
     scaled = {
         p: F.try_divide(F.col(s) - F.col(f"_lo_{p}"), F.col(f"_hi_{p}") - F.col(f"_lo_{p}"))
         for p, s in INDICATOR_SOURCE.items()
@@ -83,19 +87,19 @@ def weighted_score(rows: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def best_candidate(rows: DataFrame, params: Params = Params()) -> DataFrame:
+def best_candidate(rows: DataFrame, params: Params = Params(), at_most: int | None = None) -> DataFrame:
     """The best rows per chemical, ties kept; all rows where a score is missing."""
     best = with_group(
-        rows, ["ExpID", "Chemical"], ["IonMode", "Mass", "DTXSID"], params.rows_per_task,
+        rows, ["ExpID", "Chemical"], ["IonMode", "Mass", "DTXSID"], params.rows_per_task, at_most,
         _best=max_if_complete(F.col(SCORE)),
     )
     return best.where(F.col("_best").isNull() | (F.col(SCORE) == F.col("_best"))).drop("_best")
 
 
-def rank_letter(rows: DataFrame, params: Params = Params()) -> DataFrame:
+def rank_letter(rows: DataFrame, params: Params = Params(), at_most: int | None = None) -> DataFrame:
     """Best, lesser or unscored within the compound, appended to the classification (``NA`` without one)."""
     best = with_group(
-        rows, ["ExpID", "Compound"], ["IonMode", "Mass", "DTXSID"], params.rows_per_task, _best=F.max(SCORE)
+        rows, ["ExpID", "Compound"], ["IonMode", "Mass", "DTXSID"], params.rows_per_task, at_most, _best=F.max(SCORE)
     )
     letter = F.when(F.col(SCORE).isNull(), UNSCORED).when(F.col(SCORE) == F.col("_best"), BEST).otherwise(LESSER)
     return (
@@ -118,14 +122,15 @@ def scored_candidates(joined: DataFrame, lookup: DataFrame, params: Params = Par
     Rows are reduced to their two numbers before they meet the candidates. Both sides and the
     joined rows are read again by the group steps after it, hence settled.
     """
-    rows = settle(avg_log_abundance(sample_presence(joined, params)))
+    rows, seen = settle_and_watch(avg_log_abundance(sample_presence(joined, params)))
     classified = settle(chem_classify(lookup, params))
-    matched = settle(chem_lookup(rows, classified, params))
+    matched = settle(chem_lookup(rows, classified, params, seen["rows"]))
     scored = weighted_score(pi_normalise(matched), params)
     return scored.select(*score_columns(scored))
 
 
 def priority_scores(joined: DataFrame, lookup: DataFrame, params: Params = Params()) -> DataFrame:
     """The priority table: best candidates with score, class and rank letter."""
-    scored = settle(scored_candidates(joined, lookup, params))
-    return rank_letter(settle(best_candidate(scored, params)), params)
+    scored, seen = settle_and_watch(scored_candidates(joined, lookup, params))
+    best = settle(best_candidate(scored, params, seen["rows"]))
+    return rank_letter(best, params, seen["rows"])
