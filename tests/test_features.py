@@ -134,8 +134,9 @@ def test_final_filter_drops_the_undecided(spark):
 
 
 def test_compound_list(spark):
-    df = spark.createDataFrame([("Caffeine 2",), ("Caffeine 10 x",), ("123.4@5",), (None,), ("abc",), ("Tea x 1",)], "Compound string")
-    assert sorted(r[0] for r in unique_compounds(df).collect()) == ["Caffeine", "Tea x"]
+    names = ["Caffeine 2", "Caffeine 10 x", "123.4@5", None, "abc", "Tea x 1"]
+    df = spark.createDataFrame([("E1", n) for n in names] + [("E2", "Caffeine 3")], "ExpID string, Compound string")
+    assert sorted(map(tuple, unique_compounds(df).collect())) == [("E1", "Caffeine"), ("E1", "Tea x"), ("E2", "Caffeine")]
 
 
 def test_parameters_are_checked():
