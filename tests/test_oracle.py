@@ -7,7 +7,7 @@ from tests_compare import compare, connect
 
 SMALL = "/root/testdata/sf0.001"
 # One query per area; ``python tests/tests_compare.py DIR`` runs them all.
-CHECKED = ["filtered_features", "processed_long", "adduct_pairs", "replicate_long", "joined_modes", "pi_geometry", "chart_pages"]
+CHECKED = ["filtered_features", "processed_long", "adduct_pairs", "replicate_long", "joined_modes", "pi_geometry", "chart_pages", "prepare"]
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +22,8 @@ def test_query(spark, con, name):
 
 
 def test_registry():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle.oracle()) == set(entry.QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
