@@ -21,7 +21,7 @@ MARK = 2048  # coordinates of the finer sketch of candidates, one bit of each
 SLICE = 1 << 21  # bytes of text hashed at a time
 _U = np.uint64
 _EMPTY = _U(2**64 - 1)
-_FRACTION = 55
+_FRACTION = 52  # bits of a value below its round; the 12 above pick the bin, so up to 2048 bins
 
 
 def sketches(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
@@ -40,6 +40,7 @@ def sketches(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
     elements = np.concatenate(sets) if len(sets) else np.zeros(0, _U)
     owner = np.repeat(np.arange(len(sets)), sizes)
     active = np.flatnonzero(sizes > 0)
+    looks = {n << k for k in range(bins.bit_length() + 1) for n in (2, 3)} | {1}
     for i in range(2 * bins):
         if not len(active):
             break
@@ -47,6 +48,9 @@ def sketches(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
         value = (_U(i) << _U(_FRACTION)) | (g & _U((1 << _FRACTION) - 1))
         at = ((g >> _U(_FRACTION)) % _U(bins)).astype(np.int64) if i < bins else i - bins
         np.minimum.at(flat, owner * bins + at, value)
+        # Rounds beyond the last one needed change nothing, so full sets are looked for now and then only.
+        if i + 1 not in looks:
+            continue
         still = (out[active] == _EMPTY).any(axis=1)
         if not still.all():
             keep = np.zeros(len(sets), bool)
