@@ -128,28 +128,37 @@ def _confirmed(pairs: DataFrame, links: DataFrame, found: DataFrame, verify, lim
     """Links and components after every pair was confirmed, refused, or found to lie in one component already.
 
     Many pairs are not confirmed at once: first one for each node, which joins most of what
-    belongs together, then blocks of about ``limit`` of the pairs that are still apart.
+    belongs together, then the pairs that are still apart in blocks of about ``limit``. How many blocks there
+    are and which one a pair is in are settled once, so every pair's turn comes, whatever is refused before it.
     """
     pending, seen = settle_and_watch(pairs)
-    first = True
-    while seen["rows"]:
-        blocks = -(-seen["rows"] // limit)
-        if blocks == 1:
-            batch = pending
-        elif first:
-            batch = settle(pending.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-        else:
-            batch = pending.where(F.pmod(F.xxhash64("a", "b"), F.lit(blocks)) == 0)
+    if not seen["rows"]:
+        return links, found
+
+    def confirm(batch: DataFrame) -> None:
+        nonlocal links, found
         more, confirmed = settle_and_watch(verify(batch).select("a", "b"))
         links = links.unionByName(more)
         if confirmed["rows"]:
             found = settle(components(links))
-        if blocks == 1:
-            break
-        left = pending.join(batch, ["a", "b"], "left_anti")
-        for end in ("a", "b"):
-            of_end = found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-            left = left.join(of_end, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
-        pending, seen = settle_and_watch(left.where("of_a <> of_b").select("a", "b"))
-        first = False
+
+    if seen["rows"] <= limit:
+        confirm(pending)
+        return links, found
+    first = settle(pending.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    confirm(first)
+    pending, seen = settle_and_watch(_apart(pending.join(first, ["a", "b"], "left_anti"), found))
+    blocks = -(-seen["rows"] // limit)
+    if blocks > 1:
+        pending = settle(pending.withColumn("block", F.pmod(F.xxhash64("a", "b"), F.lit(blocks))))
+    for block in range(blocks):
+        confirm(_apart(pending.where(F.col("block") == block), found) if blocks > 1 else pending)
     return links, found
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different components."""
+    for end in ("a", "b"):
+        of_end = found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = pairs.join(of_end, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    return pairs.where("of_a <> of_b").select("a", "b")

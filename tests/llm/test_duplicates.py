@@ -122,6 +122,31 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_every_pair_is_confirmed_or_refused_once(spark):
+    """Refused pairs by far beyond the limit: each comes to its turn, and the search ends."""
+    edges = [(a, b) for a in range(9) for b in range(a + 1, 9)]
+    pairs = spark.createDataFrame(edges, "a long, b long")
+    none = spark.createDataFrame([], "a long, b long")
+    nowhere = spark.createDataFrame([], "node long, component long")
+    for real in ([], [(3, 7), (7, 8)]):
+        asked = []
+
+        def verify(batch):
+            assert len(asked) < 40, "the search does not end"
+            rows = [tuple(r) for r in batch.collect()]
+            asked.append(rows)
+            return spark.createDataFrame([r for r in rows if r in real], "a long, b long")
+
+        links, found = components._confirmed(pairs, none, nowhere, verify, 4)
+        every = [r for rows in asked for r in rows]
+        assert len(every) == len(set(every)) and set(real) <= set(every)
+        if not real:
+            assert set(every) == set(edges)
+        else:
+            assert sorted(map(tuple, found.collect())) == [(3, 3), (7, 3), (8, 3)]
+        assert sorted(map(tuple, links.collect())) == real
+
+
 def brute_cut(rows, width=100):
     """By (doc_id, start), as the contract says; rows of one id with different texts are told apart by the caller."""
     seen, out = set(), {}
