@@ -69,11 +69,10 @@ def _strength(children: DataFrame, model: Reputation) -> DataFrame:
         F.sum("n").cast("double").alias("n"),
         F.sum("bad").cast("double").alias("x"),
         F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("xx"),
-        F.sum(F.lit(1.0) / F.col("n")).alias("inverse"),
     )
     p = F.col("x") / F.col("n")
     spread = F.col("m") * (F.col("xx") - F.col("n") * p * p) / ((F.col("m") - 1) * F.col("n"))
-    noise = p * (1 - p) * F.col("inverse") / F.col("m")
+    noise = p * (1 - p) * F.col("m") / F.col("n")  # what chance adds to shares that weigh by their pages
     strength = F.when(
         (F.col("m") > 1) & (spread - noise > 0),
         F.greatest(

@@ -92,6 +92,15 @@ def test_reputation_is_shrunk(spark):
     assert got["c0.y.com"].mean < 0.1
 
 
+def test_bad_host_among_a_hot_one_and_many_of_few_pages(spark):
+    outcomes = [(f"h{i}.d{i % 50}.net", int((7 * i + j) % 10 == 0)) for i in range(3000) for j in range(1 + i % 3)]
+    outcomes += [("hot.big.net", int(i % 10 == 0)) for i in range(3000)] + [("bad.d1.net", 1)] * 100
+    known = spark.createDataFrame(outcomes, "host string, bad int")
+    pages = spark.createDataFrame([(1, "http://bad.d1.net/1", ""), (2, "http://hot.big.net/1", ""), (3, "http://h0.d0.net/1", "")], PAGES)
+    got = {r.page_id: r.verdict for r in url_filter.url_verdicts(pages, known).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow"}
+
+
 def test_urls_without_labels_or_pages(spark):
     none = spark.createDataFrame([], "host string, bad int")
     pages = spark.createDataFrame([(1, "http://a.net/", "")], PAGES)
