@@ -124,6 +124,12 @@ def linked(
     return found
 
 
+def confirmed(pairs: DataFrame, found: DataFrame, verify: Callable[[DataFrame], DataFrame], limit: int) -> DataFrame:
+    """The components ``found`` joined further by those of the ``pairs`` that ``verify`` confirms."""
+    links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return _confirmed(pairs, links, found, verify, limit)[1]
+
+
 def _confirmed(pairs: DataFrame, links: DataFrame, found: DataFrame, verify, limit: int) -> tuple[DataFrame, DataFrame]:
     """Links and components after every pair was confirmed, refused, or found to lie in one component already.
 

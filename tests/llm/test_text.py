@@ -188,6 +188,47 @@ def test_exact_lines_on_the_whole_table(spark):
     assert sum(r.n_removed for r in got.values()) <= 1.3 * sum(exact.values())
 
 
+def test_covering_keys_miss_no_pair(spark):
+    """Every pair within the distance is compared once, wherever its bits lie; and no other pair is."""
+    import random
+
+    random.seed(6)
+    hashes = [random.getrandbits(64) for _ in range(40)]
+    for h in hashes[:40]:
+        for n in (1, 2, 4, 7, 8, 8, 9):
+            hashes.append(h ^ sum(1 << b for b in random.sample(range(64), n)))
+    hashes += [hashes[0]]
+    rows = [(i, h - 2**64 if h >> 63 else h, i) for i, h in enumerate(hashes)]
+    placed = spark.createDataFrame(rows, "node long, simhash long, component long")
+    for most in (2, 5, 8):
+        got = [tuple(r) for r in line_dedup.near_across(placed, most).collect()]
+        want = {(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if (hashes[a] ^ hashes[b]).bit_count() <= most}
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_fuzzy_lines_on_a_whole_table(spark):
+    """All lines within the bits and the edit similarity are linked; against every pair of distinct lines."""
+    norms = sorted({normal(x) for r in common.documents(spark, SMALL).collect() for x in r.text.split("\n")} - {""}, key=len)
+    hashes = [brute_simhash(x) for x in norms]
+    root = list(range(len(norms)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, x in enumerate(norms):
+        for b in range(a + 1, len(norms)):
+            allowed = int(len(norms[b]) * 0.1 + 1e-9)
+            if len(norms[b]) - len(x) > allowed:
+                break
+            if (hashes[a] ^ hashes[b]).bit_count() <= 8 and distance(x, norms[b]) <= allowed:
+                root[top(a)] = top(b)
+    docs = spark.createDataFrame(list(enumerate(norms)), "doc_id long, text string")
+    kept = sum(r.n_removed == 0 for r in line_dedup.without_repeated_lines(docs).collect())
+    assert kept == sum(top(a) == a for a in range(len(norms)))
+
+
 def test_simhash_equals_brute_force(spark):
     lines = [(1, "a b c d e f g"), (2, "one"), (3, " ".join(f"w{i % 977}" for i in range(45_000)))]
     got = {r.node: r.simhash & (2**64 - 1) for r in line_dedup.simhashes(spark.createDataFrame(lines, "node long, norm string")).collect()}
