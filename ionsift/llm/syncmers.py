@@ -12,7 +12,6 @@ from ionsift.session import settle, settle_and_watch
 
 K = 5  # words of a k-mer
 S = 2  # words of its inner substrings
-SKETCH = 64  # anchors that a fingerprint holds
 _BLANK = " \t\n\x0b\f\r"
 _NO_ID = -(2**63)
 
@@ -56,27 +55,22 @@ def syncmers(text: Column) -> Column:
     return let(words(text), chosen)
 
 
-def sketch(text: Column, size: int = SKETCH) -> Column:
-    """The ``size`` least hashes of a text's anchors, ascending: a sample that is the same for equal texts."""
-    hashes = F.transform(syncmers(text), lambda a: a["hash"])
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, size)
+def sketch(text: Column) -> Column:
+    """The hashes of all anchors of a text, each once, ascending; the same for equal texts."""
+    return F.array_sort(F.array_distinct(F.transform(syncmers(text), lambda a: a["hash"])))
 
 
 def fingerprint(sketched: Column) -> Column:
-    """A sketch as a string: 16 hexadecimal digits for each anchor."""
+    """A sketch as a string: 16 hexadecimal digits for each anchor, however many there are."""
     return F.array_join(F.transform(sketched, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
-def likeness(one: Column, other: Column, size: int = SKETCH) -> Column:
-    """Share of common anchors among the ``size`` least of both texts: 0 to 1, an estimate of Jaccard similarity.
-
-    Exact for texts of up to ``size`` anchors together; two texts without words are alike (1).
-    """
-    least = F.slice(F.array_sort(F.array_union(one, other)), 1, size)
+def likeness(one: Column, other: Column) -> Column:
+    """Share of common anchors among all anchors of both texts, 0 to 1; two texts without words are alike (1)."""
     return let(
-        least,
-        lambda u: F.when(F.size(u) == 0, F.lit(1.0)).otherwise(
-            F.size(F.array_intersect(F.array_intersect(u, one), other)) / F.size(u)
+        F.size(F.array_intersect(one, other)),
+        lambda both: F.when(F.size(one) + F.size(other) == 0, F.lit(1.0)).otherwise(
+            both / (F.size(one) + F.size(other) - both)
         ),
     )
 
@@ -104,7 +98,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     the order, and all are returned. A NULL text is empty. An empty table gives no row; other columns are ignored.
 
     Whole texts are shuffled once, by document; what a neighbour needs (at most a third of its own
-    length, and the sketch) once more. The order comes from the ids alone, by a range-partitioned sort.
+    length, and the hashes of all its anchors) once more. The order comes from the ids alone, by a range-partitioned sort.
     """
     base = common.texts(docs, id_col, text_col).select(
         F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.xxhash64("text").alias("salt"), "text"

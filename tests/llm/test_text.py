@@ -126,6 +126,23 @@ def test_edited_fingerprints_of_repeated_ids_and_empty_tables(docs):
     assert one.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and one.near_next == 1.0
 
 
+def test_long_texts_are_fingerprinted_whole(docs):
+    """One changed sentence in 6,000 words, and a shared passage of 60 words in texts of 3,000, leave their mark."""
+    own = [[f"t{k}x{i}" for i in range(3000)] for k in range(2)]
+    shared = [f"p{i}" for i in range(60)]
+    long = [f"l{i}" for i in range(6000)]
+    changed = long[:4000] + [f"c{i}" for i in range(12)] + long[4012:]
+    texts = [" ".join(x) for x in (long, changed, own[0][:900] + shared + own[0][900:], own[1][:300] + shared + own[1][300:])]
+    got = {r.doc_id: r for r in syncmers.edited_fingerprints(docs([(4 - i, t) for i, t in enumerate(texts)])).collect()}
+    assert got[4].fingerprint != got[3].fingerprint and 0.99 < got[4].near_next < 1
+    assert 0 < got[2].near_next < 0.1
+    for i, t in enumerate(texts):
+        want = {h for _, h in brute_syncmers(t)}
+        following = {h for _, h in brute_syncmers(texts[(i + 1) % 4])}
+        assert got[4 - i].fingerprint == "".join(f"{h & (2**64 - 1):016x}" for h in sorted(want))
+        assert got[4 - i].near_next == pytest.approx(len(want & following) / len(want | following))
+
+
 def test_fingerprint_query_has_no_python(spark):
     plan = syncmers.op1_document_fingerprints(spark, SMALL)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)
