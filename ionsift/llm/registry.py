@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from ionsift.llm import byte_bpe, line_dedup, minhash, packing, quality, suffix_dedup, syncmers, toxicity, url_filter, warc
+from ionsift.llm import (
+    byte_bpe, conversations, line_dedup, minhash, packing, quality, suffix_dedup, syncmers, toxicity, url_filter, warc,
+)
 
 QUERIES = {
     "op1_document_fingerprints": syncmers.op1_document_fingerprints,
@@ -15,9 +17,11 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_minhash_dedup": minhash.op9_minhash_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
 }
 
 SQL = {
     "op6_warc": warc.OP6_SQL,
     "op7_url_filters": url_filter.op7_sql(),
+    "op11_conversation_repair": conversations.OP11_SQL,
 }
