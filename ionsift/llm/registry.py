@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from ionsift.llm import (
-    byte_bpe, conversations, line_dedup, minhash, packing, quality, suffix_dedup, syncmers, toxicity, url_filter, warc,
+    byte_bpe, conversations, line_crf, line_dedup, minhash, packing, quality, ranked, suffix_dedup, syncmers, toxicity,
+    url_filter, warc,
 )
 
 QUERIES = {
@@ -18,10 +19,13 @@ QUERIES = {
     "op9_minhash_dedup": minhash.op9_minhash_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_conversation_repair": conversations.op11_conversation_repair,
+    "op12_quality_crf": line_crf.op12_quality_crf,
+    "op13_ranked_search": ranked.op13_ranked_search,
 }
 
 SQL = {
     "op6_warc": warc.OP6_SQL,
     "op7_url_filters": url_filter.op7_sql(),
     "op11_conversation_repair": conversations.OP11_SQL,
+    "op13_ranked_search": ranked.OP13_SQL,
 }
