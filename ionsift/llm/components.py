@@ -11,6 +11,10 @@ from ionsift.session import settle, settle_and_watch
 
 # Comparisons of marks in one block of ``linked``, for each row of its members.
 PAIRS_PER_MEMBER = 64
+PAIRS_PER_TASK = 2_000_000
+SLICE = 1024  # nodes of a key that one task compares with all nodes of the key
+CENTRES = 3  # further centres that nodes of large groups are compared with
+PAIRS_PER_CENTRE = 2_000  # pairs of a node that one copy of its row serves
 
 
 def attach(df: DataFrame, key: str, **aggregates) -> DataFrame:
@@ -84,50 +88,80 @@ def linked(
     links. ``marks`` has a ``mark`` of every ``node``; pairs whose marks are not ``alike`` are no links.
 
     A group is not expanded into its pairs: first each node is compared with the smallest centre of its keys, which
-    joins the groups of copies. Only keys whose nodes still lie in several components go on, and of
-    them only pairs across components with marks alike, each under the first key it shares; they
-    are listed in as many blocks as keep a block's comparisons linear in the members. No pair
-    that could join two components is left out, so the components are those of all links.
+    joins the groups of copies. Only keys whose nodes still lie in several components go on. Where those hold
+    many pairs, each node is compared with a few further centres, picked by hash, which makes one of a large
+    family. What is then still apart is compared across components: of the pairs of a key those with marks
+    alike are listed, in as many blocks as keep a block's comparisons linear in the members, and a key of many
+    nodes is cut in slices, so that the work is spread by pairs and not by rows. No pair that could join two components
+    is left out, so the components are those of all links.
     """
     best = shared.where("node <> centre").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a"))
     links = settle(verify(best.select("a", "b")).select("a", "b"))
     found = settle(components(links))
-    rest, block, blocks = shared.select("key", "node"), 0, 1
-    while block < blocks:
+    rest, turn, block, blocks = shared.select("key", "node"), 0, 0, 0
+    while not blocks or block < blocks:
         own = F.coalesce("component", "node").alias("component")
         placed = settle(rest.join(found, "node", "left").select("key", "node", own))
         spans = placed.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
-        )
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
+            F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("centre"),
+        )
         of_key = F.col("n").cast("decimal(20,0)") * (F.col("n") - 1) / 2
         apart, seen = settle_and_watch(spans.where("low <> high"), pairs=F.sum(of_key), members=F.sum("n"))
         if not seen["rows"]:
             break
-        placed = settle(placed.join(apart.select("key"), "key"))
+        pairs, members = int(seen["pairs"]), int(seen["members"])
+        placed = placed.join(apart, "key").select("key", "node", "component", "n", "centre")
         rest = placed.select("key", "node")
-        if block == 0:
-            blocks = max(1, -(-int(seen["pairs"]) // max(PAIRS_PER_MEMBER * seen["members"], 1_000_000)))
-        # A node has boundedly many keys.
-        of_node = placed.groupBy("node").agg(F.first("component").alias("component"), F.collect_list("key").alias("keys"))
-        marked = settle(of_node.join(marks, "node")).withColumn("key", F.explode("keys"))
-        one = marked.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "keys", "mark")])
-        other = marked.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "keys", "mark")])
+        if not blocks and turn < CENTRES and pairs > CENTRES * max(members, 50_000):
+            other = placed.where("component <> centre.component")
+            star = other.groupBy(F.col("node").alias("b")).agg(F.min("centre.node").alias("a"))
+            more, confirmed = settle_and_watch(verify(star.select("a", "b")).select("a", "b"))
+            links = links.unionByName(more)
+            found = settle(components(links)) if confirmed["rows"] else found
+            turn += 1
+            continue
+        if not blocks:
+            blocks = max(1, -(-pairs // max(PAIRS_PER_MEMBER * members, 1_000_000)))
+        marked = settle(placed.drop("centre").join(marks, "node"))
+        slices = F.ceil(F.col("n") / SLICE).cast("int")
+        one = marked.select(
+            "key", F.pmod(F.xxhash64("node", F.lit(7)), slices).cast("int").alias("slice"),
+            *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "mark")],
+        )
+        other = marked.select(
+            "key", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"),
+            *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "mark")],
+        )
         if blocks > 1:
             one = one.where(F.pmod(F.xxhash64("node_a"), F.lit(blocks)) == block)
-        first_key = F.array_min(F.array_intersect("keys_a", "keys_b")) == one["key"]
+        # Laid out by the number of pairs, which adaptive execution does not know and so leaves alone.
+        tasks = min(10_000, max(1, pairs // blocks // PAIRS_PER_TASK))
+        one, other = (x.repartition(tasks, "key", "slice") for x in (one, other))
         may = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-        pairs = one.join(
-            other, (one["key"] == other["key"]) & may & alike(F.col("mark_a"), F.col("mark_b")) & first_key
-        ).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        links, found = _confirmed(pairs, links, found, verify, max(int(seen["members"]), 100_000))
+        same = (one["key"] == other["key"]) & (one["slice"] == other["slice"])
+        found_pairs = one.join(other, same & may & alike(F.col("mark_a"), F.col("mark_b")))
+        listed = found_pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+        links, found = _confirmed(listed, links, found, verify, max(members, 100_000))
         block += 1
     return found
 
 
-def confirmed(pairs: DataFrame, found: DataFrame, verify: Callable[[DataFrame], DataFrame], limit: int) -> DataFrame:
-    """The components ``found`` joined further by those of the ``pairs`` that ``verify`` confirms."""
-    links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return _confirmed(pairs, links, found, verify, limit)[1]
+def with_sides(pairs: DataFrame, held: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct pairs (``a``, ``b``) with the ``columns`` of both nodes from ``held`` as ``<column>_a`` and ``<column>_b``.
+
+    A node in very many pairs, the centre of a large group, has its row copied to as many parts as share them.
+    """
+    pairs = settle(pairs)
+    many = [pairs.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PAIRS_PER_CENTRE) for end in "ab"]
+    hot = settle(many[0].unionByName(many[1]).groupBy("node").agg(F.ceil(F.max("n") / PAIRS_PER_CENTRE).cast("int").alias("parts")))
+    side = held.join(hot, "node", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    for end, far in ("ab", "ba"):
+        parts = hot.select(F.col("node").alias(end), "parts")
+        part = F.coalesce(F.pmod(F.xxhash64(far), F.col("parts")), F.lit(0)).cast("int")
+        named = side.select(F.col("node").alias(end), "part", *[F.col(c).alias(f"{c}_{end}") for c in columns])
+        pairs = pairs.join(parts, end, "left").withColumn("part", part).drop("parts").join(named, [end, "part"]).drop("part")
+    return pairs
 
 
 def _confirmed(pairs: DataFrame, links: DataFrame, found: DataFrame, verify, limit: int) -> tuple[DataFrame, DataFrame]:

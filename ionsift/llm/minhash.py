@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ionsift.llm import common
-from ionsift.llm.components import attach, components, linked, shared_keys
+from ionsift.llm.components import attach, components, linked, shared_keys, with_sides
 from ionsift.llm.hashing import mix, shingle_sets, slices, word_hashes
 from ionsift.session import settle, settle_and_watch
 
@@ -214,9 +214,7 @@ def near_duplicates(
     held = settle(texts.mapInArrow(_mark_work(width), "node long, text string, mark array<long>"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        one = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        other = held.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        full = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
+        full = with_sides(pairs, held.select("node", "text"), ["text"]).select("a", "b", "text_a", "text_b")
         return full.mapInArrow(_confirm(percent, width), "a long, b long")
 
     mark = held.select("node", "mark").dropDuplicates(["node"])

@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from ionsift.llm import common, line_dedup, quality, syncmers, toxicity
 from tests.llm.conftest import CLASHING, ODD, SMALL
@@ -152,21 +153,9 @@ def normal(line):
     return " ".join(w for w in regex.split(r"[^\p{L}\p{N}]+", line.lower()) if w)
 
 
-def brute_simhash(norm):
-    words = Counter(norm.split(" "))
-    n = sum(words.values())
-    hashes = {w: xx(w) & (2**64 - 1) for w in words}
-    return sum(1 << b for b in range(64) if 2 * sum(c for w, c in words.items() if hashes[w] >> b & 1) > n)
-
-
 def test_lines_keep_the_first_of_a_group(docs):
     words = [f"word{i}" for i in range(60)]
-    long, other = " ".join(words), None
-    for k in range(60):  # a change that leaves two blocks of the SimHash alone, so that it must be found
-        other = " ".join([*words[:k], "wird", *words[k + 1 :]])
-        z = brute_simhash(long) ^ brute_simhash(other)
-        if z.bit_count() <= 8 and sum((z >> 16 * b) & 0xFFFF == 0 for b in range(4)) >= 2:
-            break
+    long, other = " ".join(words), " ".join([*words[:17], "wird", *words[18:]])
     rows = [
         (1, "Hello, World!\nunique one\n\n" + long), (2, "hello world\n###\n" + other), (3, "HELLO WORLD"),
         (None, "hello world"), (4, None), (5, "tail\nhello  world\ntail\ntail"), (6, "tail"), (6, "tail"), (6, "other\ntail"),
@@ -205,51 +194,90 @@ def test_exact_lines_on_the_whole_table(spark):
     assert sum(r.n_removed for r in got.values()) <= 1.3 * sum(exact.values())
 
 
-def test_covering_keys_miss_no_pair(spark):
-    """Every pair within the distance is compared once, wherever its bits lie; and no other pair is."""
-    import random
+def all_links(spark, norms, similarity=0.9):
+    """Every pair of distinct lines within the edit similarity, by comparing each with all of like length."""
+    from pyspark.sql import functions as F
+
+    table = spark.createDataFrame(list(enumerate(norms)), "i long, t string").withColumn("n", F.length("t"))
+    one, other = (table.toDF(*[f"{c}{x}" for c in "itn"]) for x in "ab")
+    allowed = F.floor(F.greatest("na", "nb") * (1 - similarity) + 1e-9)
+    like = (F.col("ia") < F.col("ib")) & (F.abs(F.col("na") - F.col("nb")) <= allowed)
+    pairs = one.repartition(32).join(F.broadcast(other), like).where(F.expr(f"levenshtein(ta, tb, CAST(floor(greatest(na, nb) * {1 - similarity!r}D + 1e-9D) AS INT)) >= 0"))
+    return [(r.ia, r.ib) for r in pairs.select("ia", "ib").collect()]
+
+
+def lines_of(spark, sf):
+    return sorted({normal(x) for r in common.documents(spark, sf).collect() for x in r.text.split("\n")} - {""})
 
-    random.seed(6)
-    hashes = [random.getrandbits(64) for _ in range(40)]
-    for h in hashes[:40]:
-        for n in (1, 2, 4, 7, 8, 8, 9):
-            hashes.append(h ^ sum(1 << b for b in random.sample(range(64), n)))
-    hashes += [hashes[0]]
-    rows = [(i, h - 2**64 if h >> 63 else h, i) for i, h in enumerate(hashes)]
-    placed = spark.createDataFrame(rows, "node long, simhash long, component long")
-    for most in (2, 5, 8):
-        got = [tuple(r) for r in line_dedup.near_across(placed, most).collect()]
-        want = {(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if (hashes[a] ^ hashes[b]).bit_count() <= most}
-        assert len(got) == len(want) and set(got) == want
-
-
-def test_fuzzy_lines_on_a_whole_table(spark):
-    """All lines within the bits and the edit similarity are linked; against every pair of distinct lines."""
-    norms = sorted({normal(x) for r in common.documents(spark, SMALL).collect() for x in r.text.split("\n")} - {""}, key=len)
-    hashes = [brute_simhash(x) for x in norms]
-    root = list(range(len(norms)))
+
+def groups_of(n, links):
+    root = list(range(n))
 
     def top(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for a, x in enumerate(norms):
-        for b in range(a + 1, len(norms)):
-            allowed = int(len(norms[b]) * 0.1 + 1e-9)
-            if len(norms[b]) - len(x) > allowed:
-                break
-            if (hashes[a] ^ hashes[b]).bit_count() <= 8 and distance(x, norms[b]) <= allowed:
-                root[top(a)] = top(b)
-    docs = spark.createDataFrame(list(enumerate(norms)), "doc_id long, text string")
-    kept = sum(r.n_removed == 0 for r in line_dedup.without_repeated_lines(docs).collect())
-    assert kept == sum(top(a) == a for a in range(len(norms)))
-
-
-def test_simhash_equals_brute_force(spark):
-    lines = [(1, "a b c d e f g"), (2, "one"), (3, " ".join(f"w{i % 977}" for i in range(45_000)))]
-    got = {r.node: r.simhash & (2**64 - 1) for r in line_dedup.simhashes(spark.createDataFrame(lines, "node long, norm string")).collect()}
-    assert got == {node: brute_simhash(norm) for node, norm in lines}
+    for a, b in links:
+        root[top(a)] = top(b)
+    return [top(i) for i in range(n)]
+
+
+def test_fuzzy_lines_against_edit_similarity_alone(spark):
+    """Of all pairs within the edit similarity, whatever their keys, at least nine of ten end in one group; no others do."""
+    norms = lines_of(spark, "/root/testdata/sf0.01")
+    links = all_links(spark, norms)
+    assert len(links) > 200
+    group = groups_of(len(norms), links)
+    keys = line_dedup.block_keys(line_dedup.normalised_words(F.col("text")))
+    table = spark.createDataFrame(list(enumerate(norms)), "doc_id long, text string")
+    own = {r.doc_id: set(r["keys"]) for r in table.select("doc_id", keys.alias("keys")).collect()}
+    found = [(a, b) for a, b in links if own[a] & own[b]]
+    assert len(found) >= 0.95 * len(links)
+    removed = sum(r.n_removed for r in line_dedup.without_repeated_lines(table).collect())
+    whole, reached = (len(norms) - len(set(groups_of(len(norms), x))) for x in (links, found))
+    assert removed == reached and reached >= 0.95 * whole and len(set(group)) == len(norms) - whole
+
+
+def test_candidates_grow_with_the_lines(spark):
+    """Ten times the lines: pairs that share a key grow far less than a hundredfold."""
+    pairs = []
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        docs = common.documents(spark, sf)
+        lines = line_dedup._lines(docs).select(F.xxhash64("words").alias("node"), line_dedup.block_keys(F.col("words")).alias("keys"))
+        sizes = lines.distinct().select(F.explode("keys").alias("k")).groupBy("k").count()
+        pairs.append(sizes.selectExpr("sum(count * (count - 1) / 2) AS n").first().n)
+    assert pairs[1] <= 12 * max(pairs[0], 200)
+
+
+def test_changed_words_leave_a_block_whole(spark):
+    """Fewer changed words than half the blocks never part two lines."""
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        words = [f"{rng.choice('abcdef')}word{rng.randrange(10**6)}" for _ in range(rng.choice([8, 13, 20, 30, 60, 120]))]
+        blocks = 2 ** max(1, (len(words) // 6).bit_length())
+        other = list(words)
+        for k in rng.sample(range(len(words)), max(0, min(blocks // 2 - 1, 12))):
+            other[k] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words), " ".join(other)))
+    key = lambda c: line_dedup.block_keys(line_dedup.normalised_words(F.col(c)))
+    table = spark.createDataFrame(rows, "i long, a string, b string")
+    missed = table.where(~F.arrays_overlap(key("a"), key("b"))).count()
+    assert missed <= 15  # a block may hold too few words to become a key
+
+
+def test_block_simhash_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(n, [rng.getrandbits(64) - 2**63 for _ in range(n)]) for n in range(32)]
+    table = spark.createDataFrame(rows, "n long, h array<long>")
+    for r in table.select("n", "h", line_dedup.simhash(F.col("h")).alias("v")).collect():
+        want = sum(1 << b for b in range(64) if 2 * sum((x >> b) & 1 for x in r.h) > r.n)
+        assert r.v & (2**64 - 1) == want
 
 
 def distance(a, b):
