@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ionsift import fixtures as fx  # noqa: E402
-from ionsift import oracle  # noqa: E402
+from ionsift import oracle, round_trips  # noqa: E402
 from ionsift.functions.nulls import null_tokens, zero_to_null  # noqa: E402
 from ionsift.functions.text import rough_name  # noqa: E402
 from ionsift.operators import chart, lookup, modes, partners, quality, scoring, wide  # noqa: E402
@@ -242,6 +242,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pi_melt": _heights,
     "pi_geometry": _geometry,
     "chart_pages": lambda s, d: _rounded(chart.chart_pages(settle(_priority(s, d)), PARAMS), "ToxPiScore"),
+    **round_trips.QUERIES,
 }
 
 
@@ -275,7 +276,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = oracle.oracle()
+    found = oracle.oracle() | round_trips.SQL
     if text_operators:
         found.update(text_operators.SQL)
     if corpus_pipeline and corpus_pipeline.ORACLE_SQL:

@@ -84,3 +84,21 @@ def column_name(header: str) -> str:
     """Header text to a usable column name: odd characters to ``_``, no leading digit."""
     clean = re.sub(r"[^0-9A-Za-z_]", "_", header)
     return f"X{clean}" if not re.match(r"[A-Za-z]", clean) else clean
+
+
+def unique_names(names: list[str]) -> list[str]:
+    """Names that differ, even in lower case: a name that stands again gets the first free ``_2``, ``_3`` and so on.
+
+    The first of equal names keeps its own, names that stand once are never changed, and an empty name becomes ``X``.
+    """
+    names = [n or "X" for n in names]
+    seen = {n.lower() for n in names}
+    taken: set[str] = set()
+    out = []
+    for name in names:
+        new, k = name, 2
+        while new.lower() in taken or (new != name and new.lower() in seen):
+            new, k = f"{name}_{k}", k + 1
+        taken.add(new.lower())
+        out.append(new)
+    return out

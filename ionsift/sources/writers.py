@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ionsift.params import Params
@@ -14,6 +14,10 @@ from ionsift.plans.process import Processed
 RAW_FLAGGED, FILTERED, FILTERED_WIDE = "raw_flagged", "filtered", "filtered_wide"
 
 
+# Rows of one file at most, so that no reader of a result meets a file that one task can't take.
+ROWS_PER_FILE = 1_000_000
+
+
 def write_table(
     df: DataFrame,
     root: str,
@@ -26,16 +30,23 @@ def write_table(
 ) -> str:
     """Write under ``root/kind``; NULL is ``null_text`` in CSV. Returns the folder.
 
-    ``sort_by`` orders the rows inside each file, the only place where order matters.
+    Quotes in a cell are doubled; blanks around a cell stay; an empty text is a pair of quotes. ``sort_by`` orders the rows
+    inside each file, the only place where order matters. With mode ``replace`` a run may be repeated: the folders of the dates,
+    experiments and modes that ``df`` holds are replaced as a whole, all others stay as they are.
     """
     dated = df.withColumn("run_date", F.lit(run_date or datetime.date.today()))
     parts = ["run_date"] + [c for c in ("ExpID", "IonMode") if c in df.columns]
     if sort_by:
         dated = dated.sortWithinPartitions(*parts, *sort_by)
-    writer = dated.write.mode(mode).partitionBy(*parts)
+    writer = dated.write.mode("overwrite" if mode == "replace" else mode).partitionBy(*parts)
+    writer = writer.option("maxRecordsPerFile", ROWS_PER_FILE)
+    if mode == "replace":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     path = f"{root}/{kind}"
     if fmt == "csv":
-        writer.csv(path, header=True, nullValue=null_text, emptyValue="", encoding="UTF-8")
+        writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(
+            path, header=True, nullValue=null_text, escape='"', encoding="UTF-8"
+        )
     else:
         writer.format(fmt).save(path)
     return path
@@ -63,3 +74,13 @@ def write_compounds(df: DataFrame, root: str, **options) -> str:
 def write_scores(df: DataFrame, root: str, **options) -> str:
     """The priority table as UTF-8 CSV, without a byte-order mark."""
     return write_table(df, root, "priority_scores", null_text="NA", **options)
+
+
+def read_result(spark: SparkSession, root: str, kind: str, schema: str, null_text: str = "") -> DataFrame:
+    """A CSV result table with the columns of ``schema``; run date, experiment and mode come from the folders.
+
+    ``schema`` names the columns of the files and of the folders, so experiments called ``007`` stay text. A filter on a folder
+    column reads those folders only.
+    """
+    options = {"header": True, "escape": '"', "multiLine": True, "nullValue": null_text, "enforceSchema": False}
+    return spark.read.schema(schema).csv(f"{root}/{kind}", **options)
