@@ -96,7 +96,7 @@ def linked(
     is left out, so the components are those of all links.
     """
     best = shared.where("node <> centre").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a"))
-    links = settle(verify(best.select("a", "b")).select("a", "b"))
+    links = settle(verify(_alike(best.select("a", "b"), marks, alike)).select("a", "b"))
     found = settle(components(links))
     rest, turn, block, blocks = shared.select("key", "node"), 0, 0, 0
     while not blocks or block < blocks:
@@ -116,7 +116,7 @@ def linked(
         if not blocks and turn < CENTRES and pairs > CENTRES * max(members, 50_000):
             other = placed.where("component <> centre.component")
             star = other.groupBy(F.col("node").alias("b")).agg(F.min("centre.node").alias("a"))
-            more, confirmed = settle_and_watch(verify(star.select("a", "b")).select("a", "b"))
+            more, confirmed = settle_and_watch(verify(_alike(star.select("a", "b"), marks, alike)).select("a", "b"))
             links = links.unionByName(more)
             found = settle(components(links)) if confirmed["rows"] else found
             turn += 1
@@ -147,6 +147,13 @@ def linked(
     return found
 
 
+def _alike(pairs: DataFrame, marks: DataFrame, alike: Callable[[Column, Column], Column]) -> DataFrame:
+    """The pairs that their marks do not rule out."""
+    for end in "ab":
+        pairs = pairs.join(marks.select(F.col("node").alias(end), F.col("mark").alias(f"mark_{end}")), end)
+    return pairs.where(alike(F.col("mark_a"), F.col("mark_b"))).select("a", "b")
+
+
 def with_sides(pairs: DataFrame, held: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct pairs (``a``, ``b``) with the ``columns`` of both nodes from ``held`` as ``<column>_a`` and ``<column>_b``.
 

@@ -79,6 +79,6 @@ def test_stages_take_odd_rows(spark, docs):
 
 
 def test_native_queries_run_no_python(spark):
-    for name in ("op1_document_fingerprints", "op2_quality_rules", "op10_line_dedup"):
+    for name in ("op1_document_fingerprints", "op2_quality_rules"):
         plan = registry.QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
         assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan), name
