@@ -31,7 +31,7 @@ FEATURES = {
 class Learning:
     """How a list is learned; none of it hangs on the size of the input."""
 
-    steps: int = 40  # thresholds tried for a statistic: its quantiles in the labelled rows
+    steps: int = 40  # thresholds tried for a statistic: its quantiles in the rows under the rule, and in the bad ones of them
     conditions: int = 3  # of a rule, at most
     rules: int = 8  # of the list, at most
     precision: float = 0.9  # a rule must reach this on rows that it was not grown on
@@ -136,13 +136,30 @@ def statistics(
 BASE_FAILED = "(n_words < 10 OR 100 * n_repeat_words > 20 * n_words)"
 
 
-def _best(table: DataFrame, rule: Rule, cuts: dict[str, list[float]], model: Learning) -> tuple[Condition | None, int, int]:
-    """The condition whose addition gains most, with the bad and good rows left under it.
+Barred = frozenset[tuple[str, bool]]
 
-    One job: a histogram of the rows under the rule over the quantiles of each statistic, at most
-    ``steps`` + 1 rows each, whatever the number of labelled rows.
+
+def _cuts(under: DataFrame, model: Learning) -> dict[str, list[float]]:
+    """Thresholds to try: quantiles of each statistic, finer towards both ends, of all rows and of the bad ones."""
+    even = [(i + 0.5) / model.steps for i in range(model.steps)]
+    tails = [x for k in range(2, 12) for x in (2.0**-k / model.steps, 1 - 2.0**-k / model.steps)]
+    shares = ", ".join(map(repr, sorted([0.0, *even, *tails, 1.0])))
+    pick = "approx_percentile({}, array({}), 10000) AS {}".format
+    rows = under.selectExpr(
+        *[pick(x, shares, f"a_{f}") for f, x in FEATURES.items()],
+        *[pick(f"IF(bad = 1, {x}, NULL)", shares, f"b_{f}") for f, x in FEATURES.items()],
+    ).first()
+    return {f: sorted({*(rows[f"a_{f}"] or []), *(rows[f"b_{f}"] or [])}) for f in FEATURES}
+
+
+def _best(under: DataFrame, model: Learning, barred: Barred) -> tuple[Condition | None, int]:
+    """The condition whose addition gains most, and the good rows left under it.
+
+    Three jobs: quantiles of the rows under the rule, their histogram over the quantiles of each statistic (at most
+    so many rows each, whatever the number of labelled rows), and the values on both sides of the
+    chosen cut, which is moved halfway between the last good row and the first bad one.
     """
-    under = table.where(" AND ".join(c.sql() for c in rule)) if rule else table
+    cuts = _cuts(under, model)
     pairs = ", ".join(f"'{f}', {_bucket(f, cuts[f])}" for f in FEATURES)
     counts = (
         under.selectExpr("bad", f"stack({len(FEATURES)}, {pairs}) AS (feature, bucket)")
@@ -150,7 +167,7 @@ def _best(table: DataFrame, rule: Rule, cuts: dict[str, list[float]], model: Lea
         .agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good"))
         .collect()
     )
-    best, gain = (None, 0, 0), 0.0
+    best, gain = None, 0.0
     for f in FEATURES:
         own = {r["bucket"]: (r["bad"], r["good"]) for r in counts if r["feature"] == f}
         all_bad, all_good = (sum(x[i] for x in own.values()) for i in (0, 1))
@@ -163,9 +180,29 @@ def _best(table: DataFrame, rule: Rule, cuts: dict[str, list[float]], model: Lea
             low_bad, low_good = low_bad + bad, low_good + good
             for above, p, n in ((False, low_bad, low_good), (True, all_bad - low_bad, all_good - low_good)):
                 worth = p * (math.log2(p / (p + n)) - before) if p else 0.0
-                if worth > gain + 1e-9:
-                    best, gain = (Condition(f, above, cut), p, n), worth
-    return best
+                if worth > gain + 1e-9 and (f, above) not in barred:
+                    best, gain = Condition(f, above, cut), worth
+    if best is None:
+        return None, 0
+    best = _halfway(under, best)
+    return best, under.where(best.sql()).agg(F.sum(1 - F.col("bad"))).first()[0] or 0
+
+
+def _halfway(under: DataFrame, condition: Condition) -> Condition:
+    """The cut moved to the middle between the nearest good row outside the condition and the bad row next to that one."""
+    x, cut = f"({FEATURES[condition.feature]})", f"{condition.threshold!r}D"
+    if condition.above:
+        good = under.selectExpr(f"max(IF(bad = 0 AND {x} <= {cut}, {x}, NULL))").first()[0]
+        next_bad = None if good is None else under.selectExpr(f"min(IF(bad = 1 AND {x} > {good!r}D, {x}, NULL))").first()[0]
+    else:
+        good = under.selectExpr(f"min(IF(bad = 0 AND {x} > {cut}, {x}, NULL))").first()[0]
+        next_bad = None if good is None else under.selectExpr(f"max(IF(bad = 1 AND {x} < {good!r}D, {x}, NULL))").first()[0]
+    if good is None or next_bad is None:
+        return condition
+    middle = good + (next_bad - good) / 2
+    # Neighbouring numbers have no middle: the good row stays outside.
+    middle = good if condition.above and middle >= next_bad else next_bad if not condition.above and middle >= good else middle
+    return Condition(condition.feature, condition.above, middle)
 
 
 def _bucket(feature: str, cuts: list[float]) -> str:
@@ -193,26 +230,24 @@ def learn(labelled: DataFrame, model: Learning = Learning()) -> list[Rule]:
     Two thirds of the rows (by a hash of doc_id) grow a rule: condition by condition, the one with the
     largest information gain, until no good row is left under it. The other third prunes it: of
     its beginnings the one with the best balance of bad and good rows stays, if it reaches
-    ``precision`` and ``support``. Rows under the rule are then taken out and the next rule is grown.
+    ``precision`` and ``support``. Rows under the rule are then taken out and the next rule is grown; a rule that
+    fails is set aside, and the next one begins with another statistic or side.
     Only histograms and counts of fixed size reach the driver. Without rows or without a bad one the list is empty.
     """
     table = settle(labelled.withColumn("prunes", F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 2))
-    shares = [(i + 0.5) / model.steps for i in range(model.steps)]
-    quantiles = table.selectExpr(
-        *[f"approx_percentile({x}, array({', '.join(map(repr, shares))}), 10000) AS {f}" for f, x in FEATURES.items()]
-    ).first()
-    cuts = {f: sorted(set(quantiles[f] or [])) for f in FEATURES}
     rules: list[Rule] = []
+    barred: Barred = frozenset()
     while len(rules) < model.rules:
         left = table
         for rule in rules:
             left = left.where("NOT (" + " AND ".join(c.sql() for c in rule) + ")")
-        grown: Rule = ()
+        grown, under = (), left.where("NOT prunes")
         while len(grown) < model.conditions:
-            condition, _, good = _best(left.where("NOT prunes"), grown, cuts, model)
+            condition, good = _best(under, model, barred if not grown else frozenset())
             if condition is None:
                 break
             grown += (condition,)
+            under = under.where(condition.sql())
             if not good:
                 break
         if not grown:
@@ -223,8 +258,10 @@ def learn(labelled: DataFrame, model: Learning = Learning()) -> list[Rule]:
         k = max(range(len(grown)), key=lambda j: (worth[j], -j))
         p, n = scored[k]
         if p < model.support or p < model.precision * (p + n):
-            break
+            barred |= {(grown[0].feature, grown[0].above)}
+            continue
         rules.append(beginnings[k])
+        barred = frozenset()
     return rules
 
 
