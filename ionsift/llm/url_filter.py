@@ -170,11 +170,11 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _level_sql(name: str, level: str, prior: str, prior_join: str, mean: str, model: Reputation) -> str:
     return f"""
 {name}_whole AS (
-  SELECT count(*)::DOUBLE m, sum(n)::DOUBLE n, sum(bad)::DOUBLE x, sum(bad * bad / n) xx, sum(1.0::DOUBLE / n) inverse FROM {level}
+  SELECT count(*)::DOUBLE m, sum(n)::DOUBLE n, sum(bad)::DOUBLE x, sum(bad * bad / n) xx FROM {level}
 ), {name}_k AS (
-  SELECT x / n AS p, CASE WHEN m > 1 AND m * (xx - x * x / n) / ((m - 1) * n) - x / n * (1 - x / n) * inverse / m > 0
+  SELECT x / n AS p, CASE WHEN m > 1 AND m * (xx - x * x / n) / ((m - 1) * n) - x / n * (1 - x / n) * m / n > 0
     THEN greatest({model.weakest}, least({model.strongest}, (x / n * (1 - x / n) - m * (xx - x * x / n) / ((m - 1) * n))
-      / (m * (xx - x * x / n) / ((m - 1) * n) - x / n * (1 - x / n) * inverse / m)))
+      / (m * (xx - x * x / n) / ((m - 1) * n) - x / n * (1 - x / n) * m / n)))
     ELSE {model.strongest} END AS k FROM {name}_whole
 ), {name}_post AS (
   SELECT l.*, w.k, (l.bad + w.k * {mean}) / (l.n + w.k) AS mean FROM {level} l CROSS JOIN {name}_k w {prior_join}

@@ -101,6 +101,26 @@ def test_bad_host_among_a_hot_one_and_many_of_few_pages(spark):
     assert got == {1: "block", 2: "allow", 3: "allow"}
 
 
+def test_sql_blocks_the_hosts_that_the_operator_blocks(spark):
+    """A bad host, a hot one and many of few pages, through pages and labels as the query takes them."""
+    hosts = [(f"h{i}.d{i % 50}.net", int((7 * i + j) % 10 == 0)) for i in range(600) for j in range(1 + i % 3)]
+    hosts += [("hot.big.net", int(i % 10 == 0)) for i in range(600)] + [("bad.d1.net", 1)] * 60 + [("worse.org", 1)] * 60
+    pages = [(i, f"http://{host}/{i}/x", "") for i, (host, _) in enumerate(hosts)]
+    labels = [(i, 1 - bad, 0) for i, (_, bad) in enumerate(hosts)]
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    table = spark.createDataFrame(pages, PAGES)
+    got = url_filter.url_verdicts(table, url_filter.labelled_pages(table, known)).collect()
+    assert {r.host for r in got if r.verdict == "block"} == {"bad.d1.net"}  # worse.org is allowed by rule
+    import pandas as pd
+
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(pages, columns=["page_id", "url", "html"]))
+    con.register("labels", pd.DataFrame(labels, columns=["doc_id", "quality", "toxic"]))
+    want = con.sql(url_filter.op7_sql()).select("page_id, host, path, rule, verdict").fetchall()
+    key = lambda r: r[0]
+    assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
+
+
 def test_urls_without_labels_or_pages(spark):
     none = spark.createDataFrame([], "host string, bad int")
     pages = spark.createDataFrame([(1, "http://a.net/", "")], PAGES)
