@@ -238,8 +238,8 @@ def pack_documents(
         if top is None:
             break
         round_, groups = round_ + 1, -(-(top + 1) // merge_width)
-        group = F.floor(F.col("part") / merge_width).cast("int")
-        met = left.repartition(1) if groups == 1 else left.repartition(groups, group)
+        # Group g meets in task g alone, so a task holds merge_width tasks' windows and its number is the next round's part.
+        met = left.repartitionById(groups, F.floor(F.col("part") / merge_width).cast("int"))
         table = settle(met.mapInArrow(again(round_, groups == 1), _PACKED))
         closed.append(table.where("ids IS NULL"))
         if groups == 1:
