@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ionsift.session import settle, settle_and_watch
@@ -14,7 +14,9 @@ PAIRS_PER_MEMBER = 64
 PAIRS_PER_TASK = 2_000_000
 SLICE = 1024  # nodes of a key that one task compares with all nodes of the key
 CENTRES = 3  # further centres that nodes of large groups are compared with
-PAIRS_PER_CENTRE = 2_000  # pairs of a node that one copy of its row serves
+PAIRS_PER_CENTRE = 5_000  # pairs of a node that one copy of its row serves
+FEW_EDGES = 1_000_000
+EDGES_PER_TASK = 100_000
 
 
 def attach(df: DataFrame, key: str, **aggregates) -> DataFrame:
@@ -34,6 +36,36 @@ def _stars(table: DataFrame, rows: int) -> bool:
     return seen["n"] == rows and not seen["both"]
 
 
+def _steps(table: DataFrame) -> DataFrame:
+    """A large-star and a small-star step; groups are combined before the shuffle, and the joins back can be split."""
+    both = table.unionByName(table.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    large = (
+        attach(both, "a", low=F.least(F.min("a"), F.min("b")))
+        .where("b > a")
+        .select(F.col("b").alias("a"), F.col("low").alias("b"))
+    )
+    large = settle(large.distinct())
+    low = attach(large, "a", low=F.min("b"))
+    return _pointed(low).distinct()
+
+
+def _few_steps(table: DataFrame, rows: int) -> DataFrame:
+    """The same for at most ``FEW_EDGES`` rows: each step is one shuffle to as many tasks as they are worth."""
+    tasks = 1 + rows // EDGES_PER_TASK
+    of_a = Window.partitionBy("a")
+    both = table.unionByName(table.select(F.col("b").alias("a"), F.col("a").alias("b"))).repartition(tasks, "a")
+    large = both.withColumn("low", F.least("a", F.min("b").over(of_a))).where("b > a")
+    large = large.select(F.col("b").alias("a"), F.col("low").alias("b")).repartition(tasks, "a").distinct()
+    return _pointed(large.withColumn("low", F.min("b").over(of_a))).repartition(tasks, "a").distinct()
+
+
+def _pointed(low: DataFrame) -> DataFrame:
+    """Every node and its neighbours led to its smallest one."""
+    return low.select("a", F.col("low").alias("b")).unionByName(
+        low.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (smallest node reachable) of every node that has an edge ``a``-``b``.
 
@@ -44,21 +76,11 @@ def components(edges: DataFrame) -> DataFrame:
     """
     checksum = F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
     plain = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    table, before = settle_and_watch(plain.distinct(), sum=checksum)
+    table, before = settle_and_watch(plain, sum=checksum)
     while before["rows"]:
-        both = table.unionByName(table.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = (
-            attach(both, "a", low=F.least(F.min("a"), F.min("b")))
-            .where("b > a")
-            .select(F.col("b").alias("a"), F.col("low").alias("b"))
-        )
-        large = settle(large.distinct())
-        low = attach(large, "a", low=F.min("b"))
-        small = low.select("a", F.col("low").alias("b")).unionByName(
-            low.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        )
-        table, now = settle_and_watch(small.distinct(), sum=checksum)
-        if now == before or _stars(table, now["rows"]):
+        small = before["rows"] <= FEW_EDGES
+        table, now = settle_and_watch(_few_steps(table, before["rows"]) if small else _steps(table), sum=checksum)
+        if now == before or (not small and _stars(table, now["rows"])):
             break
         before = now
     return table.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
@@ -159,9 +181,14 @@ def with_sides(pairs: DataFrame, held: DataFrame, columns: list[str]) -> DataFra
 
     A node in very many pairs, the centre of a large group, has its row copied to as many parts as share them.
     """
-    pairs = settle(pairs)
-    many = [pairs.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PAIRS_PER_CENTRE) for end in "ab"]
-    hot = settle(many[0].unionByName(many[1]).groupBy("node").agg(F.ceil(F.max("n") / PAIRS_PER_CENTRE).cast("int").alias("parts")))
+    pairs, seen = settle_and_watch(pairs)
+    if seen["rows"] <= PAIRS_PER_CENTRE:
+        for end in "ab":
+            pairs = pairs.join(held.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+        return pairs
+    ends = pairs.select(F.explode(F.array(*[F.struct(F.lit(i).alias("end"), F.col(e).alias("node")) for i, e in enumerate("ab")])).alias("e"))
+    many = ends.groupBy("e.end", "e.node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PAIRS_PER_CENTRE)
+    hot = settle(many.groupBy("node").agg(F.ceil(F.max("n") / PAIRS_PER_CENTRE).cast("int").alias("parts")))
     side = held.join(hot, "node", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
     for end, far in ("ab", "ba"):
         parts = hot.select(F.col("node").alias(end), "parts")
