@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ionsift.functions.nulls import max_if_complete, text_or_na
 from ionsift.functions.text import named
 from ionsift.operators.lookup import chem_classify, chem_lookup
-from ionsift.operators.skew import with_dataset, with_group
+from ionsift.operators.skew import balanced_join, heavy_keys, join_on, with_dataset, with_group
 from ionsift.operators.wide import columns_like
 from ionsift.params import Params
 from ionsift.session import settle, settle_and_watch
@@ -57,17 +57,19 @@ def avg_log_abundance(rows: DataFrame) -> DataFrame:
     )
 
 
-def pi_normalise(rows: DataFrame) -> DataFrame:
+def pi_normalise(rows: DataFrame, datasets: int | None = None) -> DataFrame:
     """Rescale the four indicators to 0..1 over the experiment.
 
     One aggregate with one row per experiment gives all minima and maxima; a constant indicator
-    is NULL.
+    is NULL. ``datasets`` is a known bound on the experiments, which spares a look at their number.
     """
     bounds = rows.groupBy("ExpID").agg(
         *[f(s).alias(f"_{name}_{p}") for p, s in INDICATOR_SOURCE.items() for name, f in (("lo", F.min), ("hi", F.max))]
     )
-    bounds, seen = settle_and_watch(bounds)
-    with_bounds = with_dataset(rows, bounds, ["ExpID"], seen["rows"])
+    if datasets is None:
+        bounds, seen = settle_and_watch(bounds)
+        datasets = seen["rows"]
+    with_bounds = with_dataset(rows, bounds, ["ExpID"], datasets)
     scaled = {
         p: F.try_divide(F.col(s) - F.col(f"_lo_{p}"), F.col(f"_hi_{p}") - F.col(f"_lo_{p}"))
         for p, s in INDICATOR_SOURCE.items()
@@ -101,12 +103,7 @@ def rank_letter(rows: DataFrame, params: Params = Params(), at_most: int | None
     best = with_group(
         rows, ["ExpID", "Compound"], ["IonMode", "Mass", "DTXSID"], params.rows_per_task, at_most, _best=F.max(SCORE)
     )
-    letter = F.when(F.col(SCORE).isNull(), UNSCORED).when(F.col(SCORE) == F.col("_best"), BEST).otherwise(LESSER)
-    return (
-        best.withColumn("alpha_beta", letter)
-        .withColumn("Class", F.concat(text_or_na(F.col("Compound_Classification")), "alpha_beta"))
-        .drop("_best")
-    )
+    return _lettered(best, F.col("_best")).drop("_best")
 
 
 def score_columns(rows: DataFrame) -> list[str]:
@@ -122,15 +119,46 @@ def scored_candidates(joined: DataFrame, lookup: DataFrame, params: Params = Par
     Rows are reduced to their two numbers before they meet the candidates. Both sides and the
     joined rows are read again by the group steps after it, hence settled.
     """
-    rows, seen = settle_and_watch(avg_log_abundance(sample_presence(joined, params)))
+    # Where rows are few, all of them, no experiment and no group is large. The table is one that was written.
+    n = joined.count()
+    rows, seen = settle_and_watch(avg_log_abundance(sample_presence(joined, params, n)), experiments=F.approx_count_distinct("ExpID"))
     classified = settle(chem_classify(lookup, params))
     matched = settle(chem_lookup(rows, classified, params, seen["rows"]))
-    scored = weighted_score(pi_normalise(matched), params)
+    # Twice the estimate: the bound only decides how the experiments' bounds are joined.
+    scored = weighted_score(pi_normalise(matched, 2 * (seen["experiments"] or 0)), params)
     return scored.select(*score_columns(scored))
 
 
+def best_with_letter(scored: DataFrame, params: Params = Params()) -> DataFrame:
+    """``best_candidate`` and ``rank_letter`` from one grouping of the rows and one join back.
+
+    Rows are combined by compound and chemical, and the few groups then to chemicals and to compounds. The best score of a
+    compound is the same before and after lesser candidates go, since the best one stays. ``scored`` is read twice.
+    """
+    keys = ["ExpID", "Compound", "Chemical"]
+    groups, seen = settle_and_watch(
+        scored.groupBy(*keys).agg(
+            max_if_complete(F.col(SCORE)).alias("_complete"), F.max(SCORE).alias("_any"), F.count(F.lit(1)).alias("_n")
+        ),
+        most=F.max("_n"),
+    )
+    chemicals = groups.groupBy("ExpID", "Chemical").agg(max_if_complete(F.col("_complete")).alias("_best"))
+    compounds = groups.groupBy("ExpID", "Compound").agg(F.max("_any").alias("_top"))
+    bounds = join_on(groups.select(*keys), chemicals, ["ExpID", "Chemical"], null_safe=True)
+    bounds = join_on(bounds, compounds, ["ExpID", "Compound"], null_safe=True)
+    heavy = heavy_keys(groups, keys, "_n", params.rows_per_task, seen["most"] or 0)
+    rows = balanced_join(scored, bounds, keys, heavy, ["IonMode", "Mass", "DTXSID"], null_safe=True)
+    best = rows.where(F.col("_best").isNull() | (F.col(SCORE) == F.col("_best")))
+    return _lettered(best, F.col("_top")).drop("_best", "_top")
+
+
+def _lettered(rows: DataFrame, top: Column) -> DataFrame:
+    letter = F.when(F.col(SCORE).isNull(), UNSCORED).when(F.col(SCORE) == top, BEST).otherwise(LESSER)
+    return rows.withColumn("alpha_beta", letter).withColumn(
+        "Class", F.concat(text_or_na(F.col("Compound_Classification")), "alpha_beta")
+    )
+
+
 def priority_scores(joined: DataFrame, lookup: DataFrame, params: Params = Params()) -> DataFrame:
     """The priority table: best candidates with score, class and rank letter."""
-    scored, seen = settle_and_watch(scored_candidates(joined, lookup, params))
-    best = settle(best_candidate(scored, params, seen["rows"]))
-    return rank_letter(best, params, seen["rows"])
+    return best_with_letter(settle(scored_candidates(joined, lookup, params)), params)
