@@ -106,18 +106,19 @@ def linked(
 ) -> DataFrame:
     """``node`` and ``component`` under the links that ``verify`` confirms among nodes sharing a key.
 
-    ``shared`` comes from ``shared_keys``. ``verify`` takes distinct pairs (``a``, ``b``) and returns those that are
+    ``shared`` has ``key``, ``node`` and a ``centre`` for each key, and may have the centre's ``weight``. ``verify`` takes distinct pairs (``a``, ``b``) and returns those that are
     links. ``marks`` has a ``mark`` of every ``node``; pairs whose marks are not ``alike`` are no links.
 
-    A group is not expanded into its pairs: first each node is compared with the smallest centre of its keys, which
-    joins the groups of copies. Only keys whose nodes still lie in several components go on. Where those hold
+    A group is not expanded into its pairs: first each node is compared with one centre of its keys, the weightiest
+    or else the smallest, which joins the groups of copies. Only keys whose nodes still lie in several components go on. Where those hold
     many pairs, each node is compared with a few further centres, picked by hash, which makes one of a large
     family. What is then still apart is compared across components: of the pairs of a key those with marks
     alike are listed, in as many blocks as keep a block's comparisons linear in the members, and a key of many
     nodes is cut in slices, so that the work is spread by pairs and not by rows. No pair that could join two components
     is left out, so the components are those of all links.
     """
-    best = shared.where("node <> centre").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a"))
+    centre = F.max_by("centre", F.struct("weight", "centre")) if "weight" in shared.columns else F.min("centre")
+    best = shared.where("node <> centre").groupBy(F.col("node").alias("b")).agg(centre.alias("a"))
     links = settle(verify(_alike(best.select("a", "b"), marks, alike)).select("a", "b"))
     found = settle(components(links))
     rest, turn, block, blocks = shared.select("key", "node"), 0, 0, 0
