@@ -386,6 +386,23 @@ def distance(a, b):
     return row[-1]
 
 
+def test_similar_lines_equal_edit_distance():
+    import random
+
+    rng = random.Random(9)
+    for _ in range(600):
+        a = "".join(rng.choices("abc é漢", k=rng.randrange(40)))
+        b = list(a)
+        for _ in range(rng.randrange(6)):
+            k = rng.randrange(len(b) + 1)
+            b[k : k + rng.randint(0, 1)] = rng.choice(["", "x", "a", "bc"])
+        b = "".join(b) if rng.random() < 0.9 else "".join(rng.choices("abc", k=rng.randrange(40)))
+        assert line_dedup.edit_distance(a, b) == distance(a, b)
+        for bound in (0.9, 0.8, 0.5):
+            want = distance(a, b) <= int(max(len(a), len(b)) * (1 - bound) + 1e-9)
+            assert line_dedup.similar(a, b, bound) == want
+
+
 def test_automaton_equals_edit_distance():
     import random
 
