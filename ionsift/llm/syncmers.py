@@ -158,7 +158,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     behind = numbered.select("id", "salt", (F.when(F.col("number") == 1, seen["rows"] + 1).otherwise(F.col("number")) - 1).alias("number"))
     texts = base.join(behind, ["id", "salt"]).dropDuplicates(["id", "salt"]).select("number", "text")
     after = numbered.select(*_BUCKET, "number").join(texts, "number")
-    after = settle(after.select(*_BUCKET, F.lit(True).alias("ends"), F.col("text").alias("head")))
+    after = settle(after.select(*_BUCKET, F.col("text").alias("head")))
     # Equal rows are one with their number; this grouping and the window keep the layout by bucket.
     once = (
         bucketed.repartition(*_BUCKET)
@@ -168,8 +168,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     in_order = Window.partitionBy(*_BUCKET).orderBy(F.col("id").desc(), "salt")
     known = once.withColumn("sketch", sketch(F.col("text")))
     following = known.withColumn("following", F.lead(F.struct("text", "sketch")).over(in_order))
-    ending = following.withColumn("ends", F.col("following").isNull())
-    joined = ending.join(after, [*_BUCKET, "ends"], "left")
+    # By bucket alone, so that the texts stay where they are; only the last row of a bucket uses it.
+    joined = following.join(after, _BUCKET, "left")
     beginning = F.coalesce("following.text", "head")
     edited = F.concat(
         F.expr("left(text, char_length(text) - CAST(floor(char_length(text) / 3) AS INT))"),
