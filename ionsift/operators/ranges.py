@@ -176,7 +176,8 @@ def matching_pairs(
     ``windows``: ``by``, ``a_mass``, ``a_rt``, ``axis_low``/``axis_high`` and ``carry_left``, which
     holds what ``match`` refers to; ``points``: ``by``, ``b_mass``, ``b_rt``, ``axis`` and
     ``carry_right``. Every point lies in one cell, so a pair is found once, and the result is as
-    large as the number of true pairs. A cell many windows look at is cut into parts.
+    large as the number of true pairs. A cell many windows look at is cut into parts. Neither side
+    is broadcast: both have a row per feature or more, however small the file they were computed from.
     """
     left = (
         windows.where(F.col("axis_low").isNotNull() & F.col("axis_high").isNotNull() & F.col("a_rt").isNotNull())
@@ -196,7 +197,7 @@ def matching_pairs(
     heavy = heavy_keys(
         left.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")), place, "_n", rows_per_task, at_most
     )
-    met = balanced_join(left, right, place, heavy, carry_left, "inner")
+    met = balanced_join(left, right, place, heavy, carry_left, "inner", both_large=True)
     return met.where(match.pair_test("a_mass", "a_rt", "b_mass", "b_rt")).drop("cell", "rcell")
 
 

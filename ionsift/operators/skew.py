@@ -80,10 +80,16 @@ def balanced_join(
     by: list[str],
     how: str = "left",
     null_safe: bool = False,
+    both_large: bool = False,
 ) -> DataFrame:
-    """Join a big table to a smaller one with the heavy keys of the big side cut into parts."""
+    """Join a big table to a smaller one with the heavy keys of the big side cut into parts.
+
+    With ``both_large`` the join is by shuffle and sort, whatever size Spark estimates for a side.
+    """
     left = spread(big, heavy, keys, [F.col(f"`{c}`") for c in by], null_safe)
     right = repeat(small, heavy, keys, null_safe)
+    if both_large:
+        right = right.hint("merge")
     return join_on(left, right, keys + part_key(heavy), how, null_safe).drop("_part")
 
 
