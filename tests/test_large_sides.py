@@ -2,7 +2,7 @@
 
 import pytest
 
-from ionsift.operators import partners
+from ionsift.operators import modes, partners
 
 TYPES = "FeatureNumber long, ExpID string, IonMode string, Mass double, RetentionTime double, Compound string, Score double"
 
@@ -23,7 +23,7 @@ def joins(df):
 
 
 @pytest.mark.parametrize(
-    "query, found", [(partners.adduct_pairs, (1, 2))], ids=["adduct_pairs"]
+    "query, found", [(partners.adduct_pairs, (1, 2)), (modes.cross_mode_match, (1, 3))], ids=["adduct_pairs", "cross_mode_match"]
 )
 def test_no_side_of_the_pairs_is_broadcast(spark, tmp_path, query, found):
     got = query(table(spark, str(tmp_path / "features")))
