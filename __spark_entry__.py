@@ -242,7 +242,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pi_melt": _heights,
     "pi_geometry": _geometry,
     "chart_pages": lambda s, d: _rounded(chart.chart_pages(settle(_priority(s, d)), PARAMS), "ToxPiScore"),
-    **round_trips.QUERIES,
 }
 
 
@@ -267,7 +266,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = dict(QUERIES)
+    found = QUERIES | round_trips.QUERIES
     if text_operators:
         found.update(text_operators.QUERIES)
     if corpus_pipeline:
