@@ -115,11 +115,9 @@ def alike(one: Column, other: Column, percent: int, bins: int = MARK) -> Column:
     """
     p = (1 + percent / 100) / 2
     least = math.floor(bins * p - 4.5 * math.sqrt(bins * p * (1 - p)))
-    differing = None
-    for i in range(bins // 64):
-        count = F.bit_count(one[i].bitwiseXOR(other[i]))
-        differing = count if differing is None else differing + count
-    return differing <= bins - least
+    # Written out, the sum makes a method of generated code too long for the JVM to compile.
+    counts = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(counts, F.lit(0), lambda sum_, n: sum_ + n) <= bins - least
 
 
 def _mark_work(width: int):
