@@ -122,6 +122,16 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_edges_take_few_tasks_whatever_is_dealt_out(spark, monkeypatch):
+    """A cluster that deals every key out to many partitions costs a step of few edges no more tasks."""
+    edges = spark.createDataFrame([(i + 1, i) for i in range(30)], "a long, b long")
+    plain = type(edges).repartition
+    monkeypatch.setattr(type(edges), "repartition", lambda df, n, *columns: plain(df, max(64, n), *columns))
+    stepped = components._few_steps(edges, 30)
+    assert stepped.rdd.getNumPartitions() <= components.FEW_TASKS
+    assert {(r.node, r.component) for r in components.components(edges).collect()} == {(i, 0) for i in range(31)}
+
+
 def test_every_pair_is_confirmed_or_refused_once(spark):
     """Refused pairs by far beyond the limit: each comes to its turn, and the search ends."""
     edges = [(a, b) for a in range(9) for b in range(a + 1, 9)]
